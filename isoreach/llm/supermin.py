@@ -7,10 +7,14 @@ later level can change them, and the walk stops there.  The registers of one
 set are then filled without repetition, which lowers the estimate's variance.
 
 Candidates are the documents that share a band.  Documents with equal sets are
-one node from the start.  Within a band's bucket, links are sought against hubs
+one node from the start.  Within a band's bucket, links are sought against a hub
 first, because components are all that the result needs; buckets whose members
-already are in one component hold no further news, and the others are searched
-again with more hubs until every pair between different components is tested.
+already are in one component hold no further news.  For the rest, the shingles
+that only one of them has are counted: they bound every intersection, so most
+pairs are ruled out exactly, and the members with the fewest such shingles, to
+which edited copies of one text are closest, become the next hubs.  In the end
+every pair between different components of a bucket has been ruled out or
+compared.
 """
 
 from __future__ import annotations
@@ -30,10 +34,8 @@ from isoreach.llm.textcore import U64, batches, lower_words, mix, raw, shingles,
 
 #: Registers, and registers in a band.  At similarity 0.75 a pair shares none of 24 bands with odds of 2 in a million.
 REGISTERS, BAND = 72, 3
-#: Buckets of up to this many documents are searched by all pairs between components at once, larger ones by hubs.
-SMALL_BUCKET = 16
-#: Hubs a bucket in the last round of the hub search; what then still is in several components is compared in full.
-MOST_HUBS = 64
+#: Hubs a bucket in each turn of the hub search; pairs between components that are left then are compared in full.
+HUBS = (1, 1, 8)
 SIMILAR = 75
 
 
@@ -136,34 +138,44 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_verify, "a long, b long")
 
 
-def _sized(pairs: DataFrame) -> DataFrame:
-    """Drop pairs whose sizes alone rule the similarity out."""
-    return pairs.where(F.lit(100) * F.least("na", "nb") >= F.lit(SIMILAR) * F.greatest("na", "nb"))
+#: Whether two sets can be similar enough, from their sizes and from how many of each one's shingles no other live set has.
+_POSSIBLE = f"100 * least(na - ea, nb - eb) >= {SIMILAR} * (na + nb - least(na - ea, nb - eb))"
 
 
-def _hub_pairs(rows: DataFrame, hubs: int, turn: int) -> DataFrame:
-    """Pairs of each member of a bucket with `hubs` of its members, other ones each turn."""
-    if turn == 0:
-        hub = rows.groupBy("key").agg(F.min(F.struct("rep", "n", "label")).alias("h"), F.count("*").alias("size")).where("size > 1").select("key", "h")
-    else:
-        # `hubs` slots in a bucket, each led by the member whose hash is smallest there
-        slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(hubs))
-        hub = rows.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("rep", F.lit(-turn)).alias("o"), "rep", "n", "label")).alias("h")).select("key", "h")
-    hub = hub.select(F.col("key").alias("hkey"), F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.label").alias("lb"))
-    return rows.join(hub, rows.key == hub.hkey).where("rep <> b and label <> lb").select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb")
+def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each member of a bucket with its hubs; at first the smallest id, then the members with the fewest shingles of their own."""
+    slot = F.pmod(F.xxhash64("rep"), F.lit(HUBS[turn]))
+    order = F.struct("rep", "n", "e", "label") if turn == 0 else F.struct(F.col("e").alias("o"), "rep", "n", "e", "label")
+    hub = rows.groupBy("key", slot.alias("slot")).agg(F.min(order).alias("h"))
+    hub = hub.select(F.col("key").alias("hkey"), F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.e").alias("eb"), F.col("h.label").alias("lb"))
+    members = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("e").alias("ea"), F.col("label").alias("la"))
+    return members.join(hub, (F.col("key") == F.col("hkey")) & F.expr("a <> b and la <> lb") & F.expr(_POSSIBLE)).select("a", "b")
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
     """All pairs between the components that are left in a bucket: what the hubs couldn't settle."""
-    x, y = (rows.select(F.col("key").alias(f"k{s}"), F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("label").alias(f"l{s}")) for s in "ab")
-    return x.join(y, x.ka == y.kb).where("a < b and la <> lb").select("a", "na", "b", "nb")
+    x, y = (rows.select(F.col("key").alias(f"k{s}"), F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("e").alias(f"e{s}"), F.col("label").alias(f"l{s}")) for s in "ab")
+    return x.join(y, (F.col("ka") == F.col("kb")) & F.expr("a < b and la <> lb") & F.expr(_POSSIBLE)).select("a", "b")
 
 
-def _small_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs between components in buckets of at most SMALL_BUCKET members."""
-    members = rows.groupBy("key").agg(F.collect_list(F.struct("rep", "n", "label")).alias("m"))
-    one = members.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-    return one.where("x.rep < y.rep and x.label <> y.label").select(F.col("x.rep").alias("a"), F.col("x.n").alias("na"), F.col("y.rep").alias("b"), F.col("y.n").alias("nb"))
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of the buckets whose members are in more than one component."""
+    mixed = rows.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1").select(F.col("key").alias("mkey"))
+    return rows.join(mixed, rows.key == mixed.mkey).select("rep", "n", "key", "e", "label")
+
+
+def _own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches(it, 256):
+        sets = [np.unique(shingles(lower_words(t))) for t in raw(b.column(1))]
+        ids = np.repeat(b.column(0).to_numpy(), [len(s) for s in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(signed(np.concatenate(sets)))], names=["rep", "shingle"])
+
+
+def own_shingles(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """nodes (rep) -> orep, own: how many of a node's shingles no other node has.  At most that many can't be in an intersection."""
+    texts = nodes.join(docs, F.col("rep") == F.col("doc_id")).select("rep", "text")
+    owners = texts.mapInArrow(_own, "rep long, shingle long").groupBy("shingle").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
+    return owners.where("first = last").groupBy(F.col("first").alias("orep")).agg(F.count("*").alias("own"))
 
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,43 +195,36 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, id_col: str = "do
     same = stash(spark, same, "sets")
     rows = stash(spark, same.select("rep", "n", F.explode("bands").alias("key")), "bands")
     # a bucket of one member offers nothing
-    shared = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select(F.col("key").alias("skey"), "size")
-    live = stash(spark, rows.join(shared, rows.key == shared.skey).select("rep", "n", "key", "size", F.col("rep").alias("label")), "live")
+    shared = rows.groupBy("key").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select(F.col("key").alias("skey"))
+    live = stash(spark, rows.join(shared, rows.key == shared.skey).select("rep", "n", "key", F.lit(0).cast("long").alias("e"), F.col("rep").alias("label")), "live")
     release(spark, rows)
 
-    links, tested, turn, hubs = None, None, 0, 1
-    labels = None
-    while True:
-        small = live.where(F.col("size") <= SMALL_BUCKET)
-        last = hubs > MOST_HUBS
-        if last:
-            pairs = _cross_pairs(live)
-        else:
-            pairs = _hub_pairs(live.where(F.col("size") > SMALL_BUCKET), hubs, turn)
-        if turn == 0:
-            pairs = pairs.unionByName(_small_pairs(small))
-        pairs = _sized(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links, tested, labels = None, None, None
+    for turn in range(len(HUBS) + 1):
+        pairs = _hub_pairs(live, turn) if turn < len(HUBS) else _cross_pairs(live)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stash(spark, pairs, "pairs")
         if pairs.isEmpty():
-            if last or live.where(F.col("size") > SMALL_BUCKET).isEmpty():
-                break
-            turn, hubs = turn + 1, hubs * 4
             continue
         found = stash(spark, verified(pairs, docs), "links")
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(spark, links)
-        # buckets above the small size whose members still are in more than one component
-        old, to = live.where(F.col("size") > SMALL_BUCKET).drop("label"), labels
-        new = old.join(to, old.rep == to.node, "left").select("rep", "n", "key", F.coalesce("component", "rep").alias("label"))
-        new = stash(spark, new, "labelled")
-        mixed = new.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size")).where("l0 < l1").select(F.col("key").alias("mkey"), "size")
-        live = stash(spark, new.join(mixed, new.key == mixed.mkey).select("rep", "n", "key", "size", "label"), "live")
-        if last or live.isEmpty():
+        if turn == len(HUBS):
+            labels = components(spark, links)
+            break
+        labels = stash(spark, components(spark, links), "labels")
+        # only buckets whose members still are in more than one component go on
+        new = live.drop("label").join(labels, live.rep == labels.node, "left").drop("node").withColumn("label", F.coalesce("component", "rep")).drop("component")
+        if turn == 0:
+            new = stash(spark, _mixed(new), "mixed")
+            own = own_shingles(new.select("rep").distinct(), docs)
+            new = new.drop("e").join(own, new.rep == own.orep, "left").select("rep", "n", "key", F.coalesce("own", F.lit(0)).alias("e"), "label")
+            new = new.where(F.lit(100) * (F.col("n") - F.col("e")) >= F.lit(SIMILAR) * F.col("n"))  # no link can exist beyond that
+        live = stash(spark, _mixed(stash(spark, new, "labelled")), "live")
+        if live.isEmpty():
             break
-        turn, hubs = turn + 1, hubs * 4
     to_rep = same.select(F.col("fp").alias("sfp"), "rep")
     if labels is not None:
         to_rep = stash(spark, to_rep.join(labels, F.col("rep") == F.col("node"), "left").select("sfp", F.coalesce("component", "rep").alias("rep")), "classes")
