@@ -19,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(spark, _table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isoreach.llm.licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from isoreach.llm.resampling import resample
 
@@ -62,7 +68,13 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_substring_dedup, op3_importance_resampling, op4_quality_cascade, op5_masked_lm, op6_site_line_dedup, op7_best_fit_packing, op8_source_mixing, op9_minhash_near_dedup)
+def op10_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isoreach.llm.itq import similar_vectors
+
+    return similar_vectors(spark, _table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = (op1_substring_dedup, op2_license_scan, op3_importance_resampling, op4_quality_cascade, op5_masked_lm, op6_site_line_dedup, op7_best_fit_packing, op8_source_mixing, op9_minhash_near_dedup, op10_itq_near_dedup)
 
 
 def queries() -> dict[str, Query]:
@@ -70,6 +82,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from isoreach.llm import cascade, mixing, sitelines
+    from isoreach.llm import cascade, licenses, mixing, sitelines
 
-    return {"op4_quality_cascade": cascade.base_sql(), "op6_site_line_dedup": sitelines.sql(), "op8_source_mixing": mixing.sql()}
+    return {"op2_license_scan": licenses.sql(), "op4_quality_cascade": cascade.base_sql(), "op6_site_line_dedup": sitelines.sql(), "op8_source_mixing": mixing.sql()}
