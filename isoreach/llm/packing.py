@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -55,14 +56,13 @@ class TokenBytes:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        new = []
+        model = self.tokenizer.model
         for w in words:
             if w in self.old:
                 self.young[w] = self.old[w]
-            else:
-                new.append(w)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.young[w] = np.array(e.ids, dtype="<u4").tobytes()
+            else:  # ASCII words are their own byte-level form, so the model takes them directly
+                ids = [t.id for t in model.tokenize(w)] if w.isascii() else self.tokenizer.encode(w, add_special_tokens=False).ids
+                self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [_SPLIT.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
@@ -71,7 +71,7 @@ class TokenBytes:
             if words is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
                 continue
-            if missing := set(words) - self.young.keys():
+            if missing := {w for w in words if w not in self.young}:
                 if len(self.young) + len(missing) > CACHE_WORDS:  # a new generation begins, with this text's words
                     self.old, self.young, missing = self.young, {}, set(words)
                 self._learn(missing)
