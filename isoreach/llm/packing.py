@@ -40,6 +40,22 @@ _PLAIN = re.compile("[\t-\r -~¡-įı-ſ]*")
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 
 
+class WordTokens(dict):
+    """word -> its ids' bytes; a word that is missing is taken from an older generation or encoded."""
+
+    def __init__(self, tokenizer, old: dict[str, bytes]) -> None:
+        super().__init__()
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, old
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:  # ASCII words are their own byte-level form, so the model takes them directly
+            ids = [t.id for t in self.model.tokenize(word)] if word.isascii() else self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = found
+        return found
+
+
 class TokenBytes:
     """text -> its ids as little-endian 32-bit bytes, equal to the tokenizer's on the whole text.
 
@@ -52,30 +68,17 @@ class TokenBytes:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        model = self.tokenizer.model
-        for w in words:
-            if w in self.old:
-                self.young[w] = self.old[w]
-            else:  # ASCII words are their own byte-level form, so the model takes them directly
-                ids = [t.id for t in model.tokenize(w)] if w.isascii() else self.tokenizer.encode(w, add_special_tokens=False).ids
-                self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
+        self.words = WordTokens(self.tokenizer, {})
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [_SPLIT.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
         out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
+        for text in texts:
+            if not _PLAIN.fullmatch(text) or "<|" in text:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
                 continue
-            if missing := {w for w in words if w not in self.young}:
-                if len(self.young) + len(missing) > CACHE_WORDS:  # a new generation begins, with this text's words
-                    self.old, self.young, missing = self.young, {}, set(words)
-                self._learn(missing)
-            out.append(b"".join(map(self.young.__getitem__, words)))
+            if len(self.words) > CACHE_WORDS:  # a new generation begins; words still in use come over from the last
+                self.words = WordTokens(self.tokenizer, dict(self.words))
+            out.append(b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower()))))
         return out
 
 
