@@ -7,7 +7,8 @@ for a text of LENGTH n-grams, so that long texts don't outweigh short ones.
 Documents are then drawn without replacement with odds in proportion to their
 weights, by the Gumbel top-k trick: each log weight gets seeded Gumbel noise and
 the k largest sums are taken.  k is the number of documents beyond the log weight
-that best separates a bounded sample of labelled good and bad documents.
+that best separates bounded samples of good documents that the target model
+hasn't seen and of bad ones.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from isoreach.llm.runtime import release, ship, stash
 from isoreach.llm.textcore import U64, batches, mix, raw, word_hashes
 
 BUCKETS = 1 << 12
-#: Labelled good documents that the target model is counted on, those of the smallest id hashes.
+#: Labelled good documents that the target model is counted on, and of either label that k is set by, those of the smallest id hashes.
 TARGET_ROWS = 20_000
 SEED = 29
 LENGTH = 100
@@ -93,9 +94,11 @@ def _score(ratio: np.ndarray, seed: int):
     return run
 
 
-def _labelled(labels: DataFrame, quality: int) -> DataFrame:
-    """At most TARGET_ROWS ids with the label; the bound lets them be broadcast."""
+def _labelled(labels: DataFrame, quality: int, half: int | None = None) -> DataFrame:
+    """At most TARGET_ROWS ids with the label, of one half of the ids if so asked; the bound lets them be broadcast."""
     ids = labels.where((F.col("quality") == quality) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("label_id")).distinct()
+    if half is not None:
+        ids = ids.where(F.pmod(F.xxhash64("label_id", F.lit(SEED)), F.lit(2)) == half)
     return ids.orderBy(F.xxhash64("label_id"), "label_id").limit(TARGET_ROWS)
 
 
@@ -114,7 +117,7 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The log ratio of each bucket, from docs (doc_id, text) and labels (doc_id, quality)."""
-    good = _labelled(labels, 1).withColumnRenamed("label_id", "good_id")
+    good = _labelled(labels, 1, 0).withColumnRenamed("label_id", "good_id")
     flagged = docs.join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left").select("doc_id", "text", F.col("good_id").isNotNull().alias("good"))
     counts = flagged.mapInArrow(_count, "kind int, bucket int, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
     table = np.zeros((2, BUCKETS))
@@ -145,7 +148,7 @@ def _sampled(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int)
     ship(spark)
     ratio = fit(spark, docs, labels)
     scored = stash(spark, docs.mapInArrow(_score(ratio, seed), "doc_id long, n_ngrams long, log_weight double, sample_key double"), "weights")
-    seen = [scored.join(F.broadcast(_labelled(labels, q)), F.col("doc_id") == F.col("label_id")).select("log_weight").toPandas()["log_weight"].to_numpy() for q in (1, 0)]
+    seen = [scored.join(F.broadcast(_labelled(labels, q, half)), F.col("doc_id") == F.col("label_id")).select("log_weight").toPandas()["log_weight"].to_numpy() for q, half in ((1, 1), (0, None))]
     k = scored.where(F.col("log_weight") > F.lit(best_cut(*seen))).count()
     return scored, ratio, kth_largest(scored, "sample_key", k) if k else float("inf")
 
