@@ -31,7 +31,8 @@ CLUSTERS, WIDTH, SHARED = 32, 32, 64
 VOCAB = CLUSTERS * WIDTH
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
-STRIDE, ROUNDS, BATCH, RATE = 8, 2, 2048, 0.08
+#: One position in STRIDE is masked; minibatches grow from LEAST to MOST as a task has seen more.
+STRIDE, ROUNDS, LEAST, MOST, RATE = 8, 2, 128, 2048, 0.08
 SEED = 41
 
 _SHAPES = {"emb": (len(OFFSETS), VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN, CLUSTERS), "cb": (CLUSTERS,), "tw": (CLUSTERS, HIDDEN, WIDTH), "tb": (CLUSTERS, WIDTH)}
@@ -145,6 +146,10 @@ def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarra
         m[name] -= RATE * g / (np.sqrt(g2[name]) + 1e-6)
 
 
+def _batch(seen: int) -> int:
+    return min(MOST, max(LEAST, seen // 16))
+
+
 def _train(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = flat.copy()
@@ -156,13 +161,12 @@ def _train(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
             wait_c.append(np.stack([padded[masked + o] for o in OFFSETS]))
             wait_t.append(padded[masked])
             waiting += len(masked)
-            if waiting >= BATCH:
-                context, target = np.concatenate(wait_c, axis=1), np.concatenate(wait_t)
-                whole = len(target) // BATCH * BATCH
-                for lo in range(0, whole, BATCH):
-                    step(m, g2, context[:, lo : lo + BATCH], target[lo : lo + BATCH])
-                seen += whole
-                wait_c, wait_t, waiting = [context[:, whole:]], [target[whole:]], len(target) - whole
+            if waiting >= _batch(seen):
+                context, target, lo = np.concatenate(wait_c, axis=1), np.concatenate(wait_t), 0
+                while len(target) - lo >= (size := _batch(seen)):
+                    step(m, g2, context[:, lo : lo + size], target[lo : lo + size])
+                    lo, seen = lo + size, seen + size
+                wait_c, wait_t, waiting = [context[:, lo:]], [target[lo:]], len(target) - lo
         if waiting:
             step(m, g2, np.concatenate(wait_c, axis=1), np.concatenate(wait_t))
             seen += waiting
