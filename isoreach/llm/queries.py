@@ -74,7 +74,13 @@ def op10_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(spark, _table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = (op1_substring_dedup, op2_license_scan, op3_importance_resampling, op4_quality_cascade, op5_masked_lm, op6_site_line_dedup, op7_best_fit_packing, op8_source_mixing, op9_minhash_near_dedup, op10_itq_near_dedup)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (op1_substring_dedup, op2_license_scan, op3_importance_resampling, op4_quality_cascade, op5_masked_lm, op6_site_line_dedup, op7_best_fit_packing, op8_source_mixing, op9_minhash_near_dedup, op10_itq_near_dedup, pipeline)
 
 
 def queries() -> dict[str, Query]:
