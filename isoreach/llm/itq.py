@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoreach.llm.blocks import dealt, forest, groups
 from isoreach.llm.components import components
 from isoreach.llm.runtime import release, ship, stash
 from isoreach.llm.textcore import batches
@@ -94,27 +95,6 @@ def _index(mean: np.ndarray, p: np.ndarray, dim: int):
     return run
 
 
-def _groups(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], pa.Table]]:
-    """Runs of rows of one (bucket, gi, gj) from rows sorted by it; a run is a block or two at most."""
-    held: list[pa.Table] = []
-    last = None
-    for b in it:
-        if not b.num_rows:
-            continue
-        g = [b.column(k).to_numpy() for k in range(3)]
-        change = np.flatnonzero((g[0][1:] != g[0][:-1]) | (g[1][1:] != g[1][:-1]) | (g[2][1:] != g[2][:-1])) + 1
-        starts = np.concatenate([[0], change, [b.num_rows]])
-        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            key = (int(g[0][lo]), int(g[1][lo]), int(g[2][lo]))
-            if key != last and held:
-                yield last, pa.concat_tables(held)
-                held = []
-            last = key
-            held.append(pa.Table.from_batches([b.slice(lo, hi - lo)]))
-    if held:
-        yield last, pa.concat_tables(held)
-
-
 def _pairs(key: tuple[int, int, int], t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of the pairs whose first table is this bucket's, by their codes; each pair once."""
     blk, ids, code, flip = (t[c].to_numpy() for c in ("blk", "id", "code", "flip"))
@@ -137,28 +117,15 @@ def _pairs(key: tuple[int, int, int], t: pa.Table) -> tuple[np.ndarray, np.ndarr
 
 def _near(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of buckets that have a pair near enough by code."""
-    for key, t in _groups(it):
+    for key, t in groups(it):
         a, b = _pairs(key, t)
         if len(a):
             yield from t.take(pa.array(np.union1d(a, b))).combine_chunks().to_batches()
 
 
-def _forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each linked row the smallest id of its component in the block."""
-    label = ids.copy()
-    while True:
-        old = label.copy()
-        np.minimum.at(label, a, label[b])
-        np.minimum.at(label, b, label[a])
-        if (old == label).all():
-            rows = np.union1d(a, b)
-            rows = rows[ids[rows] != label[rows]]
-            return ids[rows], label[rows]
-
-
 def _link(dim: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, t in _groups(it):
+        for key, t in groups(it):
             a, b = _pairs(key, t)
             if not len(a):
                 continue
@@ -173,7 +140,7 @@ def _link(dim: int):
                 continue
             ids, copies = t["id"].to_numpy(), t["copies"].to_numpy()
             n = np.bincount(a, weights=copies[b], minlength=len(ids)) + np.bincount(b, weights=copies[a], minlength=len(ids))
-            node, root = _forest(a, b, ids)
+            node, root = forest(a, b, ids)
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([ids[some], node])), pa.array(np.concatenate([n[some].astype(np.int64), np.zeros(len(node), dtype=np.int64)])), pa.array(np.concatenate([ids[some], root]))],
@@ -183,15 +150,6 @@ def _link(dim: int):
     return run
 
 
-def _dealt(rows: DataFrame, sizes: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows dealt to the block pairs of their buckets and sorted by them."""
-    joined = rows.join(sizes, rows.bucket == sizes.sbucket)
-    blk = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = joined.withColumn("blk", blk).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("blk", "j").cast("int").alias("gi"), F.greatest("blk", "j").cast("int").alias("gj"), "blk", "id", "code", "flip", *columns)
-    return rows.repartition("bucket", "gi", "gj").sortWithinPartitions("bucket", "gi", "gj")
-
-
 def _sizes(rows: DataFrame) -> DataFrame:
     """Buckets with a filed member and another row, and the blocks each is cut into."""
     count = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.count_if(F.col("flip") < 0).alias("filed"))
@@ -222,12 +180,12 @@ def similar_vectors(spark: SparkSession, embeddings: DataFrame, id_col: str = "v
     mean, p = learn(x)
 
     rows = stash(spark, nodes.select("id", "label", "vector").mapInArrow(_index(mean, p, dim), "bucket long, id long, code long, flip int"), "tables")
-    near = _dealt(rows, _sizes(rows), []).mapInArrow(_near, "bucket long, gi int, gj int, blk int, id long, code long, flip int")
+    near = dealt(rows, _sizes(rows), ["code", "flip"]).mapInArrow(_near, "bucket long, gi int, gj int, blk int, id long, code long, flip int")
     near = stash(spark, near.select("bucket", "id", "code", "flip").distinct(), "near")
     release(spark, rows)
     payload = nodes.select(F.col("id").alias("nid"), "vector", "copies")
     held = near.join(payload, near.id == payload.nid).select("bucket", "id", "code", "flip", "vector", "copies")
-    found = stash(spark, _dealt(held, _sizes(near), ["vector", "copies"]).mapInArrow(_link(dim), "id long, n long, other long"), "vector-links")
+    found = stash(spark, dealt(held, _sizes(near), ["code", "flip", "vector", "copies"]).mapInArrow(_link(dim), "id long, n long, other long"), "vector-links")
     labels = components(spark, found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     counts = found.groupBy("id").agg(F.sum("n").alias("others")).select(F.col("id").alias("cid"), "others")
     result = nodes.join(counts, F.col("id") == F.col("cid"), "left").join(labels, F.col("id") == F.col("node"), "left")
