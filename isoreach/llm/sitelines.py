@@ -25,19 +25,19 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate(spark: SparkSession, pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """pages (host, lines) -> bhost, drop: the 64-bit hashes of each host's boilerplate lines."""
+    """pages (host, lines) -> _isoreach_host, _isoreach_drop: the 64-bit hashes of each host's boilerplate lines."""
     totals = pages.groupBy("host").agg(F.count("*").alias("n_pages")).select(F.col("host").alias("thost"), "n_pages")
     hashes = F.array_distinct(F.transform(F.filter("lines", _has_word), lambda x: F.xxhash64(x)))
     seen = pages.select("host", F.explode(hashes).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     often = seen.join(totals, F.col("host").eqNullSafe(F.col("thost"))).where(F.col("n") > F.lit(ratio) * F.col("n_pages"))
-    return stash(spark, often.groupBy(F.col("host").alias("bhost")).agg(F.collect_list("line").alias("drop")), "boilerplate")
+    return stash(spark, often.groupBy(F.col("host").alias("_isoreach_host")).agg(F.collect_list("line").alias("_isoreach_drop")), "boilerplate")
 
 
 def drop_boilerplate(spark: SparkSession, pages: DataFrame, host: str | Column = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """Drop from each page the lines that are boilerplate on its host.
 
     Returns the input's columns with the text rewritten, and n_lines, n_dropped
-    (lines before, lines that went); both names must be free.  Lines end at \\n
+    (lines before, lines that went); an input's columns of these names are replaced.  Lines end at \\n
     and are compared exactly.  Lines without a word are never counted or
     dropped.  A null host is a host of its own.  A null text stays null and has
     no lines but counts as a page; a text that loses all its lines is empty;
@@ -46,13 +46,13 @@ def drop_boilerplate(spark: SparkSession, pages: DataFrame, host: str | Column =
     on = F.col(host) if isinstance(host, str) else host
     lines = F.split(F.col(text_col), "\n")
     drop = boilerplate(spark, pages.select(on.alias("host"), lines.alias("lines")), ratio, min_pages)
-    lost = F.coalesce("drop", F.array().cast("array<bigint>"))
+    lost = F.coalesce("_isoreach_drop", F.array().cast("array<bigint>"))
     kept = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(lost, F.xxhash64(x))))
-    joined = pages.join(drop, on.eqNullSafe(F.col("bhost")), "left")
-    own = [F.when(F.col("drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in pages.columns]
+    joined = pages.join(drop, on.eqNullSafe(F.col("_isoreach_host")), "left")
+    own = [F.when(F.col("_isoreach_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in pages.columns if c not in ("n_lines", "n_dropped")]
     n = F.coalesce(F.size(lines), F.lit(0))
     n = F.when(F.col(text_col).isNull(), 0).otherwise(n)
-    gone = F.when(F.col(text_col).isNull() | F.col("drop").isNull(), 0).otherwise(F.size(lines) - F.size(kept))
+    gone = F.when(F.col(text_col).isNull() | F.col("_isoreach_drop").isNull(), 0).otherwise(F.size(lines) - F.size(kept))
     return joined.select(*own, n.cast("long").alias("n_lines"), gone.cast("long").alias("n_dropped"))
 
 
