@@ -98,8 +98,9 @@ def mix(
     Returns the input's rows, one for each epoch that takes them, with mix_domain,
     mix_lang, mix_source, mix_tokens (words without white space) and mix_epoch.
     A null language or source is the node 'unknown'; a null text has no tokens; a
-    leaf without tokens gives nothing.  Rows with equal ids, or with null ones,
-    stand or fall together in a leaf.  An empty table gives an empty result.
+    leaf without tokens gives nothing.  Columns of the input with these names are
+    replaced.  Rows with equal ids, or with null ones, stand or fall together in a
+    leaf.  An empty table gives an empty result.
     """
     dom = domain if domain is not None else domain_of(F.col(source_col))
     tokens = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit("[^ \t-\r]+"))).cast("long")
@@ -129,12 +130,15 @@ def mix(
     plan = budgets.join(last, (F.col("bd") == F.col("ld")) & (F.col("bl") == F.col("ll")) & (F.col("bs") == F.col("ls")), "left").select(*leaf, "full", "cut")
     plan = stash(spark, plan.where("full > 0 or cut is not null"), "mix-plan")
 
-    full = documents.select("*", *parts, tokens.alias("mix_tokens"))
-    chosen = on_leaf(full, plan)
-    takes = F.col("full") + F.coalesce(_order_key(seed, F.col("full"), F.col(id_col)) <= F.col("cut"), F.lit(False)).cast("int")
-    chosen = chosen.withColumn("isoreach_takes", takes).where("isoreach_takes > 0")
-    chosen = chosen.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("isoreach_takes") - 1)))
-    return chosen.drop(*leaf, "full", "cut", "isoreach_takes")
+    own = {"domain": "bd", "lang": "bl", "source": "bs", "full": "full", "cut": "cut"}
+    plan = plan.select(*[F.col(c).alias(f"_isoreach_{k}") for k, c in own.items()])  # names that a table's own columns don't have
+    full = documents.drop("mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_epoch").select("*", *parts, tokens.alias("mix_tokens"))
+    chosen = full.join(plan, (F.col("mix_domain") == F.col("_isoreach_domain")) & (F.col("mix_lang") == F.col("_isoreach_lang")) & (F.col("mix_source") == F.col("_isoreach_source")))
+    last = F.col("_isoreach_full")
+    takes = last + F.coalesce(_order_key(seed, last, F.col(id_col)) <= F.col("_isoreach_cut"), F.lit(False)).cast("int")
+    chosen = chosen.withColumn("_isoreach_takes", takes).where("_isoreach_takes > 0")
+    chosen = chosen.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_isoreach_takes") - 1)))
+    return chosen.drop(*plan.columns, "_isoreach_takes")
 
 
 def sql(weights: dict[str, int] | None = None, percent: int = PERCENT, epochs: int = EPOCHS, seed: int = SEED) -> str:
