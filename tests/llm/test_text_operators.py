@@ -333,3 +333,18 @@ def test_mixing_budgets_and_prefixes(spark, docs):
     assert len(twice) == 300 and len({(r.doc_id, r.mix_epoch) for r in twice}) == 300
     assert mixing.mix(spark, docs).count() > 0
     assert mixing.mix(spark, docs.limit(0)).collect() == []
+
+
+def test_columns_of_the_operators_own_names_do_no_harm(spark, docs):
+    clash = docs
+    for c in ("n_lines", "n_dropped", "drop", "host", "line", "full", "cut", "rest", "bd", "mix_epoch", "mix_tokens", "kept", "component_id", "key", "a", "b", "doc", "t", "w", "uid", "length"):
+        clash = clash.withColumn(c, F.lit("x"))
+    ids = sorted(r.doc_id for r in supermin.near_duplicates(spark, docs).collect() if r.kept and r.doc_id is not None)
+    assert sorted(r.doc_id for r in supermin.near_duplicates(spark, clash).collect() if r.kept and r.doc_id is not None) == ids
+    assert {r.n_dropped for r in sitelines.drop_boilerplate(spark, clash).collect()} == {0}
+    assert all(isinstance(r.mix_epoch, int) and r.cut == "x" for r in mixing.mix(spark, clash).collect())
+    assert passages.repeated_passages(spark, clash).count() == 5
+    assert licenses.scan(clash).count() == cascade.judge(spark, clash).count() == maskedlm.pseudo_likelihood(spark, clash).count() == 14
+    assert packing.pack(spark, clash).count() >= 14
+    labels = spark.createDataFrame([(1, 1), (10, 0)], "doc_id long, quality int")
+    assert resampling.resample(spark, clash, labels).count() == 14 and resampling.keep_good(spark, clash, labels).columns == clash.columns
