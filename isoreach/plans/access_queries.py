@@ -341,7 +341,7 @@ def g3(spark, sf):
 def c11(spark, sf):
     cells = load(spark, sf, "cells")
     m = O.weighted_group_mean(cells, "zone_id", "x", "population").withColumnRenamed("x", "mx")
-    return cells.join(F.broadcast(m), "zone_id").select("cell_id", F.round(F.col("x") - F.col("mx"), 4).alias("x_zone_dev"))
+    return cells.join(m, "zone_id").select("cell_id", F.round(F.col("x") - F.col("mx"), 4).alias("x_zone_dev"))
 
 
 OVER = ", ov as (select cell_id, zone_id, population, 30.0::double + 0.5::double * x + 0.1::double * y as overhead from cells_), zo as (select zone_id, sum(overhead * greatest(population, 1.0::double)) / sum(greatest(population, 1.0::double)) as overhead from ov group by zone_id)"

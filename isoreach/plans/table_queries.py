@@ -19,7 +19,7 @@ def rounded(df, *cols: str, digits: int = 4):
 @query("j1_keyed_lookup", ctes("cells", "zones") + " select cell_id, region_id from cells_ c left join (select * from zones_ where zone_id < 20) z on c.zone_id = z.zone_id")
 def j1(spark, sf):
     z = load(spark, sf, "zones").where("zone_id < 20").select("zone_id", "region_id")
-    return load(spark, sf, "cells").join(F.broadcast(z), "zone_id", "left").select("cell_id", "region_id")
+    return load(spark, sf, "cells").join(z, "zone_id", "left").select("cell_id", "region_id")
 
 
 @query("j2_layered_override", ctes("cells") + " select cell_id, zone_id, case when cell_id % 3 = 0 then null else round(population * 2, 4) end as population from cells_")
@@ -72,7 +72,7 @@ def j29(spark, sf):
 def j30(spark, sf):
     c = spark.read.parquet(f"{sf}/customer.parquet")
     s = c.groupBy("c_nationkey").agg(F.avg((F.col("c_mktsegment") == "BUILDING").cast("double")).alias("share"))
-    return c.join(F.broadcast(s), "c_nationkey").select("c_custkey", F.when(F.col("share") >= 0.21, 1).when(F.col("c_mktsegment") == "BUILDING", 2).alias("member"))
+    return c.join(s, "c_nationkey").select("c_custkey", F.when(F.col("share") >= 0.21, 1).when(F.col("c_mktsegment") == "BUILDING", 2).alias("member"))
 
 
 @query("j31_composed_key", "with v as (select l_orderkey || '_' || l_linenumber as vid, l_quantity from lineitem) select o_orderkey, l_quantity from orders left join v on v.vid = o_orderkey || '_1'")
