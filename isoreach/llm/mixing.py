@@ -103,7 +103,8 @@ def mix(
     leaf.  An empty table gives an empty result.
     """
     dom = domain if domain is not None else domain_of(F.col(source_col))
-    tokens = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit("[^ \t-\r]+"))).cast("long")
+    bare = F.btrim(F.col(text_col), F.lit(" \t\n\x0b\x0c\r"))
+    tokens = F.when(F.length(bare) > 0, F.size(F.split(bare, "[ \t-\r]+"))).otherwise(0).cast("long")  # several times as fast as counting matches
     parts = [dom.alias("mix_domain"), F.coalesce(F.col(lang_col).cast("string"), F.lit("unknown")).alias("mix_lang"), F.coalesce(F.col(source_col).cast("string"), F.lit("unknown")).alias("mix_source")]
     slim = stash(spark, documents.select(F.col(id_col).alias("id"), *parts, tokens.alias("mix_tokens")), "mix-tokens")
     supply = slim.groupBy("mix_domain", "mix_lang", "mix_source").agg(F.sum("mix_tokens").alias("supply"))
