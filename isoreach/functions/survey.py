@@ -174,3 +174,46 @@ def parsed_dates(c: Column) -> list[Column]:
     """The text read under each known date format, null where it doesn't parse."""
     t = F.split(F.trim(c), " ")[0]
     return [F.try_to_timestamp(t, F.lit(f)).cast("date") for f in DATE_FORMATS]
+
+
+def elevation_ok(a: Column, b: Column, top: float = 1000.0) -> Column:
+    """Whether both ends lie between 0 and top metres; unknown fails."""
+    inside = lambda z: F.coalesce((z > 0) & (z < top), F.lit(False))
+    return (inside(a) & inside(b)).cast("int")
+
+
+def all_valid(*flags: Column) -> Column:
+    """1 if all flags are 1, else 0; unknown counts as 0."""
+    return reduce(lambda a, b: a & b, [F.coalesce(f == 1, F.lit(False)) for f in flags]).cast("int")
+
+
+def conditions(daylight_flag: Column, season_name: Column) -> dict[str, Column]:
+    """Condition columns of the choice model; an unknown one stays null."""
+    return {"cond_dark": 1 - daylight_flag, **{f"cond_{s}": (season_name == s).cast("int") for s in ("winter", "spring", "fall")}}
+
+
+def metric_parts(name: Column) -> Column:
+    """struct<dest, param> of a metric column's name, the parameter being its last part."""
+    return F.struct(F.regexp_extract(name, "^(.*)_[^_]+$", 1).alias("dest"), F.regexp_extract(name, "_([^_]+)$", 1).alias("param"))
+
+
+def speed_prior(motorway: Column, ramp: Column, urban: Column) -> Column:
+    """First guess of a speed (km/h) from the road class."""
+    return F.when(motorway & ~ramp, 100.0).when(ramp, 60.0).when(urban, 40.0).otherwise(70.0)
+
+
+def plug_in(fuel: Column, co2: Column) -> Column:
+    """Hybrids below 70 g/km, but above none, are plug-ins; electric cars have no emissions."""
+    return F.when(fuel == "electric", "electric").when((fuel == "hybrid") & (co2 > 0) & (co2 < 70), "plugin").otherwise(fuel)
+
+
+def file_name(name: str, leg_set: str) -> str:
+    """A survey file's name for a leg set: the main one as it is, trips renamed, others with a suffix."""
+    if leg_set == "main":
+        return name
+    if leg_set == "trips":
+        if "survey_leg" not in name:
+            raise ValueError(f"{name} has no form for trips")
+        return name.replace("survey_leg", "survey_trip")
+    stem, _, ending = name.rpartition(".")
+    return f"{stem}_{leg_set}.{ending}"

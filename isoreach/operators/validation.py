@@ -254,3 +254,64 @@ def traffic_zones(zones: DataFrame, centres: DataFrame) -> DataFrame:
 def counter_flows(counters: DataFrame) -> DataFrame:
     """Cars a day: the cars counted if there are any, else nine tenths of all vehicles; counters without cars go."""
     return counters.withColumn("cars", F.when(F.col("passenger") >= 1, F.col("passenger")).otherwise(0.9 * F.col("vehicles"))).where("cars > 0")
+
+
+def profile_or_sibling(coefs: dict[str, dict[str, float]], profile: str, siblings: list[str]) -> dict[str, float]:
+    """A profile's coefficients, else those of the first sibling of its mode that has any."""
+    for name in (profile, *siblings):
+        if name in coefs:
+            return coefs[name]
+    raise KeyError(f"no coefficients for {profile} or its mode")
+
+
+def tiered_path_costs(od: DataFrame, costs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Costs of searches (origin, node, cost) on tiered pairs, through the nodes (kind 'cell' or 'zone', id, node) of both ends; beyond the cutoff null."""
+    o = nodes.select(F.col("kind").alias("_ok"), F.col("id").alias("_oi"), F.col("node").alias("_on"))
+    d = nodes.select(F.col("kind").alias("_dk"), F.col("id").alias("_di"), F.col("node").alias("_dn"))
+    ko, kd = F.when(F.col("tier") == "z2z", "zone").otherwise("cell"), F.when(F.col("tier") == "c2c", "cell").otherwise("zone")
+    rows = od.join(o, (ko == F.col("_ok")) & (F.col("orig_id") == F.col("_oi")), "left").join(d, (kd == F.col("_dk")) & (F.col("dest_id") == F.col("_di")), "left")
+    c = costs.select(F.col("origin").alias("_co"), F.col("node").alias("_cn"), "cost")
+    return rows.join(c, (F.col("_on") == F.col("_co")) & (F.col("_dn") == F.col("_cn")), "left").select("tier", "orig_id", "dest_id", F.col("cost").alias("value"))
+
+
+def clean_edges(edges: DataFrame, means: list[str], drop: tuple[str, ...] = ("name",)) -> DataFrame:
+    """Merged edges' list attributes as one value each: numbers by their mean, the highway of the highest rank; length from the geometry."""
+    from isoreach.functions.osm import highway_rank, mean_of_numbers
+    from isoreach.operators.geometry import length
+
+    out = edges.drop(*drop).withColumns({c: mean_of_numbers(F.col(c)) for c in means})
+    if "highway" in edges.columns:
+        out = out.withColumn("highway", F.array_max(F.transform("highway", lambda h: F.struct(highway_rank(h).alias("r"), h.alias("h"))))["h"])
+    return out.withColumn("length", length(F.col("geometry"))) if "geometry" in edges.columns else out
+
+
+def filled_speed(maxspeed: Column, by_class: Column) -> Column:
+    """The limit, else the class's speed, else 50."""
+    return F.coalesce(maxspeed, by_class, F.lit(50.0))
+
+
+def leg_times(legs: DataFrame, by_profile: dict[str, DataFrame]) -> DataFrame:
+    """Legs with each profile's routed time (leg_id, cost) as time_<profile>; unrouted ones null."""
+    for name, df in by_profile.items():
+        legs = legs.join(df.select(F.col("leg_id").alias("_l"), F.col("cost").alias(f"time_{name}")), F.col("leg_id") == F.col("_l"), "left").drop("_l")
+    return legs
+
+
+def leg_overheads(legs: DataFrame, overheads: DataFrame) -> DataFrame:
+    """Both ends' overheads of legs (orig_cell, dest_cell) from cells (cell_id, overhead)."""
+    o, d = overheads.select(F.col("cell_id").alias("_o"), F.col("overhead").alias("overhead_orig")), overheads.select(F.col("cell_id").alias("_d"), F.col("overhead").alias("overhead_dest"))
+    return legs.join(o, F.col("orig_cell") == F.col("_o"), "left").join(d, F.col("dest_cell") == F.col("_d"), "left").drop("_o", "_d")
+
+
+def tier_medians(od: DataFrame) -> DataFrame:
+    return od.where(F.col("value").isNotNull()).groupBy("tier").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.count("*").alias("n"))
+
+
+def with_prefixes(rows: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
+    return rows.select(*[c for c in rows.columns if c.startswith(prefixes)])
+
+
+def evaluated_counters(counters: DataFrame, flows: DataFrame) -> DataFrame:
+    """Agreement of counted and modeled flows by road tier: counters (edge_id, counted, rank), flows (edge_id, flow_estimate)."""
+    both = counters.join(flows.select(F.col("edge_id").alias("_e"), "flow_estimate"), F.col("edge_id") == F.col("_e")).withColumn("tier", road_tier(F.col("rank")))
+    return stats.agreement(both, ["tier"], "counted", "flow_estimate")

@@ -273,3 +273,89 @@ def f8(spark, sf):
 def w11(spark, sf):
     knots = spark.createDataFrame([(10.0, 5.0), (60.0, 30.0)], "kx double, ky double")
     return V.interpolate(load(spark, sf, "events").select("event_id", "value"), "value", knots, "kx", "ky", "y").select("event_id", "y")
+
+
+@query("n5_chain_collapse", None)
+def n5(spark, sf):
+    from isoreach.operators import graph as N
+    from isoreach.plans.network_queries import edges
+
+    e = edges(spark, sf).where("rank < 2").select("u", "v", F.col("w").alias("length"))
+    return rounded(N.collapse_chains(spark, e), "length")
+
+
+@query("n13_speed_fill", "select o_orderkey, coalesce(case when o_orderkey % 3 = 0 then 30.0 end, case when o_orderkey % 5 = 0 then 80.0 end, 50.0)::double as kph from orders")
+def n13(spark, sf):
+    k = F.col("o_orderkey")
+    return tab(spark, sf, "orders").select("o_orderkey", X.filled_speed(F.when(k % 3 == 0, 30.0), F.when(k % 5 == 0, 80.0)).alias("kph"))
+
+
+@query("n21_snap_flags", PAIRS + ", a as (select distinct cell_id from pairs where cost <= 20), b as (select distinct cell_id from pairs where cost <= 40 and category = 1) select c.cell_id, cast(c.cell_id % 2 = 0 and a.cell_id is not null and b.cell_id is not null as int) as is_active from cells_ c left join a on a.cell_id = c.cell_id left join b on b.cell_id = c.cell_id")
+def n21(spark, sf):
+    from isoreach.operators import graph as N
+
+    cells = load(spark, sf, "cells").withColumn("is_aoi", (F.col("cell_id") % 2 == 0).cast("int"))
+    nodes = load(spark, sf, "dests").select(F.col("dest_id").alias("node_id"), "dx", "dy", "category")
+    snap = lambda n, r: J.nearest(cells.select("cell_id", "x", "y"), "cell_id", n, "node_id", r).select("cell_id", "node_id", F.col("dist").alias("snap_distance"))
+    return N.snap_flags({"walk": snap(nodes, 20.0), "car": snap(nodes.where("category = 1"), 40.0)}, cells).select("cell_id", "is_active")
+
+
+@query("t5_t6_leg_times", "select o_orderkey as leg_id, case when o_orderkey % 2 = 0 then o_totalprice end as time_car, case when o_orderkey % 3 = 0 then o_totalprice * 2 end as time_bike, a.c_acctbal as overhead_orig, b.c_acctbal as overhead_dest from orders left join customer a on a.c_custkey = o_custkey left join customer b on b.c_custkey = o_custkey + 7")
+def t5(spark, sf):
+    o = tab(spark, sf, "orders").select(F.col("o_orderkey").alias("leg_id"), F.col("o_custkey").alias("orig_cell"), (F.col("o_custkey") + 7).alias("dest_cell"), "o_totalprice")
+    c = tab(spark, sf, "customer").select(F.col("c_custkey").alias("cell_id"), F.col("c_acctbal").alias("overhead"))
+    times = X.leg_times(o, {"car": o.where("leg_id % 2 = 0").select("leg_id", F.col("o_totalprice").alias("cost")), "bike": o.where("leg_id % 3 = 0").select("leg_id", (F.col("o_totalprice") * 2).alias("cost"))})
+    return X.leg_overheads(times, c).select("leg_id", "time_car", "time_bike", "overhead_orig", "overhead_dest")
+
+
+@query("s29_postcodes", "with p as (select c_custkey % 50 as postcode, c_nationkey as municipality, c_custkey % 13 as x, c_custkey % 7 as y from customer), a as (select postcode, municipality, min(x * 1000 + y) as m from p group by 1, 2), b as (select *, row_number() over (partition by postcode order by municipality) as rn from a) select municipality, avg(floor(m / 1000)) as x, avg(m % 1000) as y from b where rn = 1 group by 1")
+def s29(spark, sf):
+    c = tab(spark, sf, "customer").select((F.col("c_custkey") % 50).alias("postcode"), F.col("c_nationkey").alias("municipality"), (F.col("c_custkey") % 13).alias("x"), (F.col("c_custkey") % 7).alias("y"))
+    return formats.postcode_points(c)[1]
+
+
+@query("s32_hectare_ids", ctes("cells") + " select cell_id, x, y from cells_")
+def s32(spark, sf):
+    ids = load(spark, sf, "cells").select("cell_id", F.concat_ws(":", F.col("x").cast("string"), F.col("y").cast("string")).alias("id"))
+    return formats.hectare_points(ids).select("cell_id", "x", "y")
+
+
+@query("s12_clipped_source", ctes("cells", "zones") + ", bx as (select x as bx0, y as by0, x + 180 as bx1, y + 140 as by1 from zones_ where zone_id < 4) select distinct cell_id from cells_ c join bx b on c.x >= bx0 and c.x < bx1 and c.y >= by0 and c.y < by1")
+def s12(spark, sf):
+    return formats.clip(load(spark, sf, "cells").select("cell_id", "x", "y"), _boxes(spark, sf).where("zone_id < 4").select("ring")).select("cell_id")
+
+
+@query("s25_raster_points", "select 2000.0 + ((l_suppkey % 100) + 0.5) * 30 as x, 9000.0 - ((l_partkey % 100) + 0.5) * 30 as y, l_quantity as value from lineitem where l_quantity > 10 and l_quantity <> 50")
+def s25(spark, sf):
+    px = tab(spark, sf, "lineitem").where("l_quantity > 10").select((F.col("l_suppkey") % 100).alias("col"), (F.col("l_partkey") % 100).alias("row"), F.col("l_quantity").alias("value"))
+    return formats.pixels_to_points(px, 2000.0, 9000.0, 30.0, 50.0)
+
+
+@query("s27_merged_pages", "with u as (select event_id, user_id, value from events where event_id % 2 = 0 union all select event_id, user_id, value + 1 from events where event_id % 3 = 0) select event_id, min(value) as value from u group by 1")
+def s27(spark, sf):
+    e = load(spark, sf, "events").select("event_id", "user_id", "value")
+    return formats.merge_pages([e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1)], "event_id", "value").select("event_id", "value")
+
+
+@query("f17_f18_validity", ctes("cells") + " select cell_id, cast(x > 0 and x < 600 and y > 0 and y < 600 as int) as band, cast(x > 0 and x < 600 and y > 0 and y < 600 and population > 0 as int) as valid from cells_")
+def f17(spark, sf):
+    band = S.elevation_ok(F.col("x"), F.col("y"), 600.0)
+    return load(spark, sf, "cells").select("cell_id", band.alias("band"), S.all_valid(band, (F.col("population") > 0).cast("int")).alias("valid"))
+
+
+@query("g21_tier_medians", ctes("matrix") + " select case when orig_id < 5 then 'c2c' when orig_id < 12 then 'c2z' else 'z2z' end as tier, quantile_cont(value, 0.5) as median, count(*) as n from matrix_ group by 1")
+def g21(spark, sf):
+    tier = F.when(F.col("orig_id") < 5, "c2c").when(F.col("orig_id") < 12, "c2z").otherwise("z2z")
+    return X.tier_medians(load(spark, sf, "matrix").withColumn("tier", tier).withColumn("value", F.col("value").cast("double")))
+
+
+@query("e13_counter_evaluation", f"with r as (select case when o_orderkey % 8 >= 6 then 'highway' when o_orderkey % 8 >= 3 then 'main' else 'local' end as tier, o_totalprice / 1000 as m, o_totalprice / 1100 + o_orderkey % 17 as p from orders) select tier, {AGREE} from r group by tier")
+def e13(spark, sf):
+    o = tab(spark, sf, "orders").select(F.col("o_orderkey").alias("edge_id"), (F.col("o_totalprice") / 1000).alias("counted"), (F.col("o_orderkey") % 8).alias("rank"), (F.col("o_totalprice") / 1100 + F.col("o_orderkey") % 17).alias("flow_estimate"))
+    out = X.evaluated_counters(o.drop("flow_estimate"), o.select("edge_id", "flow_estimate"))
+    return rounded(out, *[c for c in out.columns if c not in ("tier", "n")])
+
+
+@query("p19_prefixes", "select c_custkey, c_name from customer")
+def p19(spark, sf):
+    return X.with_prefixes(tab(spark, sf, "customer"), ("c_cust", "c_name"))

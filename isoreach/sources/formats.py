@@ -87,3 +87,50 @@ def obstacles(features: DataFrame) -> DataFrame:
     rows = features.select("osm_id", h.alias("kind"), (c == "traffic_signals").alias("signal")).where(F.col("kind").isin(*kinds))
     twice = rows.where((F.col("kind") == "crossing") & F.col("signal")).select("osm_id", F.lit("traffic_signals").alias("kind"))
     return rows.select("osm_id", "kind").unionByName(twice)
+
+
+def clip(features: DataFrame, area: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """Features whose point is inside the area's rings; a box filter comes first, which the scan can push down."""
+    from isoreach.operators.spatial import points_in_polygons
+
+    box = area.select(F.min(F.array_min(F.transform("ring", lambda p: p["x"]))).alias("x0"), F.max(F.array_max(F.transform("ring", lambda p: p["x"]))).alias("x1"), F.min(F.array_min(F.transform("ring", lambda p: p["y"]))).alias("y0"), F.max(F.array_max(F.transform("ring", lambda p: p["y"]))).alias("y1")).first()
+    near = features.where(F.col(x).between(box.x0, box.x1) & F.col(y).between(box.y0, box.y1))
+    return points_in_polygons(near, area.select("ring"), xy=(x, y)).select(*features.columns).distinct()
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, column: str, low: int, high: int, parts: int) -> DataFrame:
+    """A database table in parallel ranges of a number column; paging by offset would need an order to be repeatable."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts).load()
+
+
+def with_statistic(rows: DataFrame, table: DataFrame, name: str, variable: str) -> tuple[DataFrame, int]:
+    """One variable of a long statistics table (name, variable, value) joined by name, and the number of names without it."""
+    one = table.where(F.col("variable") == variable).select(F.col("name").alias("_n"), F.col("value").alias(variable))
+    out = rows.join(one, F.col(name) == F.col("_n"), "left")
+    return out.drop("_n"), out.where("_n is null").select(name).distinct().count()
+
+
+def pixels_to_points(pixels: DataFrame, x0: float, y0: float, size: float, no_data: float) -> DataFrame:
+    """Centres of the pixels (col, row, value) that hold people, rows counted downward from the upper left corner."""
+    kept = pixels.where((F.col("value") > 0) & (F.col("value") != no_data))
+    return kept.select((F.lit(x0) + (F.col("col") + 0.5) * size).alias("x"), (F.lit(y0) - (F.col("row") + 0.5) * size).alias("y"), "value")
+
+
+def merge_pages(pages: list[DataFrame], key: str, order: str) -> DataFrame:
+    """Pages as one table; of rows that repeat a key the first by `order` stays."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
+    cols = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*cols), order).alias("b")).select(key, "b.*")
+
+
+def postcode_points(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One point a postcode (the smallest place), and each municipality's mean of its postcodes."""
+    post = points.groupBy("postcode", "municipality").agg(F.min(F.struct("x", "y")).alias("p")).groupBy("postcode").agg(F.min(F.struct("municipality", "p")).alias("m"))
+    post = post.select("postcode", "m.municipality", "m.p.x", "m.p.y")
+    return post, post.groupBy("municipality").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+
+
+def hectare_points(rows: DataFrame, key: str = "id") -> DataFrame:
+    """x and y from ids 'x:y'."""
+    parts = F.split(key, ":")
+    return rows.withColumns({"x": parts[0].try_cast("double"), "y": parts[1].try_cast("double")})
