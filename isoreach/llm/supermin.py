@@ -12,9 +12,9 @@ first, because components are all that the result needs; buckets whose members
 already are in one component hold no further news.  For the rest, the shingles
 that only one of them has are counted: they bound every intersection, so most
 pairs are ruled out exactly, and the members with the fewest such shingles, to
-which edited copies of one text are closest, become the next hubs.  In the end
-every pair between different components of a bucket has been ruled out or
-compared.
+which edited copies of one text are closest, become the next hubs.  What then
+still is in several components of one bucket is compared in full, in blocks of
+a bounded size, of which only a spanning forest of the links leaves the task.
 """
 
 from __future__ import annotations
@@ -28,14 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoreach.llm.blocks import dealt, forest, groups, intersections
 from isoreach.llm.components import components
 from isoreach.llm.runtime import release, ship, stash
 from isoreach.llm.textcore import U64, batches, lower_words, mix, raw, shingles, signed
 
 #: Registers, and registers in a band.  At similarity 0.75 a pair shares none of 24 bands with odds of 2 in a million.
 REGISTERS, BAND = 72, 3
-#: Hubs a bucket in each turn of the hub search; pairs between components that are left then are compared in full.
-HUBS = (1, 1, 8)
+#: Members of a bucket that are compared at once in the last step; larger buckets are cut into blocks.
+BLOCK = 384
 SIMILAR = 75
 
 
@@ -104,38 +105,50 @@ def _sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-class _Sets:
-    """The last side's set is kept, as a hub comes in many rows running."""
+def _set(text: bytes) -> np.ndarray:
+    return np.unique(shingles(lower_words(text)))
 
-    def __init__(self) -> None:
-        self.text, self.set = b"\x00unset", np.empty(0, dtype=U64)
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        if text != self.text:
-            self.text, self.set = text, np.unique(shingles(lower_words(text)))
-        return self.set
+def _stored(elements: bytes) -> np.ndarray:
+    return np.frombuffer(elements, dtype=U64)
 
 
-def _verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    left, right = _Sets(), _Sets()
-    for b in batches(it):
-        ok = []
-        for x, y in zip(raw(b.column(2)), raw(b.column(3)), strict=True):
-            s, t = left(x), right(y)
-            both = np.concatenate([s, t])
-            both.sort()
-            same = int((both[1:] == both[:-1]).sum())
-            ok.append(100 * same >= SIMILAR * (len(s) + len(t) - same))
-        kept = pc.filter(pa.Table.from_batches([b.select([0, 1])]), pa.array(ok, pa.bool_()))
-        yield from kept.to_batches()
+def _verify(make):
+    """Keep the pairs (a, b, x, y) whose sets, made of x and y, are similar; a set that comes again is kept for the next row."""
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[tuple[bytes | None, np.ndarray]] = [(None, np.empty(0, dtype=U64))] * 2
+        for b in batches(it):
+            ok = []
+            for pair in zip(_bytes(b.column(2)), _bytes(b.column(3)), strict=True):
+                for k, x in enumerate(pair):
+                    if x != last[k][0]:
+                        last[k] = (x, make(x))
+                s, t = last[0][1], last[1][1]
+                both = np.concatenate([s, t])
+                both.sort()
+                same = int((both[1:] == both[:-1]).sum())
+                ok.append(100 * same >= SIMILAR * (len(s) + len(t) - same))
+            kept = pc.filter(pa.Table.from_batches([b.select([0, 1])]), pa.array(ok, pa.bool_()))
+            yield from kept.to_batches()
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; both joins may split a hub's rows."""
-    a, b = docs.select(F.col("doc_id").alias("ia"), F.col("text").alias("ta")), docs.select(F.col("doc_id").alias("ib"), F.col("text").alias("tb"))
+    return run
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return column.to_pylist() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else raw(column)
+
+
+def verified(pairs: DataFrame, table: DataFrame, key: str, value: str, make) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough.
+
+    The contents are joined by sorting at every size, never broadcast, and a hub's
+    rows may be split.
+    """
+    a, b = (table.select(F.col(key).alias(f"i{s}"), F.col(value).alias(f"t{s}")).hint("merge") for s in "ab")
     rows = pairs.join(a, pairs.a == a.ia).select("a", "b", "ta")
     rows = rows.join(b, rows.b == b.ib).select("a", "b", "ta", "tb")
-    return rows.mapInArrow(_verify, "a long, b long")
+    return rows.mapInArrow(_verify(make), "a long, b long")
 
 
 #: Whether two sets can be similar enough, from their sizes and from how many of each one's shingles no other live set has.
@@ -143,19 +156,46 @@ _POSSIBLE = f"100 * least(na - ea, nb - eb) >= {SIMILAR} * (na + nb - least(na -
 
 
 def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each member of a bucket with its hubs; at first the smallest id, then the members with the fewest shingles of their own."""
-    slot = F.pmod(F.xxhash64("rep"), F.lit(HUBS[turn]))
+    """Pairs of each member of a bucket with its hub; at first the smallest id, then the member with the fewest shingles of its own."""
     order = F.struct("rep", "n", "e", "label") if turn == 0 else F.struct(F.col("e").alias("o"), "rep", "n", "e", "label")
-    hub = rows.groupBy("key", slot.alias("slot")).agg(F.min(order).alias("h"))
+    hub = rows.groupBy("key").agg(F.min(order).alias("h"))
     hub = hub.select(F.col("key").alias("hkey"), F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.e").alias("eb"), F.col("h.label").alias("lb"))
     members = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("e").alias("ea"), F.col("label").alias("la"))
     return members.join(hub, (F.col("key") == F.col("hkey")) & F.expr("a <> b and la <> lb") & F.expr(_POSSIBLE)).select("a", "b")
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs between the components that are left in a bucket: what the hubs couldn't settle."""
-    x, y = (rows.select(F.col("key").alias(f"k{s}"), F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("e").alias(f"e{s}"), F.col("label").alias(f"l{s}")) for s in "ab")
-    return x.join(y, (F.col("ka") == F.col("kb")) & F.expr("a < b and la <> lb") & F.expr(_POSSIBLE)).select("a", "b")
+def _binary(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches(it, 256):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.unique(shingles(lower_words(t))).tobytes() for t in raw(b.column(1))], pa.binary())], names=["rep", "elements"])
+
+
+def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between different components within each pair of blocks, as a spanning forest."""
+    for _, t in groups(it):
+        if len(t) < 2:
+            continue
+        ids, label = t["rep"].to_numpy(), t["label"].to_numpy()
+        sets = [np.frombuffer(x, dtype=U64) for x in t["elements"].to_pylist()]
+        sizes = np.array([len(s) for s in sets], dtype=np.int32)
+        most = sizes - t["e"].to_numpy().astype(np.int32)
+        least = np.minimum(most[:, None], most[None, :])
+        possible = (label[:, None] != label[None, :]) & (100 * least >= SIMILAR * (sizes[:, None] + sizes[None, :] - least))
+        rows = np.flatnonzero(possible.any(axis=1))  # the others can't be linked
+        if not len(rows):
+            continue
+        same = intersections([sets[k] for k in rows], 1024).astype(np.int32)
+        union = sizes[rows][:, None] + sizes[rows][None, :] - same
+        a, b = np.nonzero(possible[np.ix_(rows, rows)] & (100 * same >= SIMILAR * union))
+        node, root = forest(rows[a], rows[b], ids)
+        yield pa.RecordBatch.from_arrays([pa.array(root), pa.array(node)], names=["a", "b"])
+
+
+def compared(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the components that are left in a bucket, by full sets, block by block."""
+    held = sets.select(F.col("rep").alias("srep"), "elements").hint("merge")
+    rows = live.join(held, live.rep == held.srep).select(F.col("key").alias("bucket"), "rep", "e", "label", "elements")
+    sizes = live.groupBy(F.col("key").alias("sbucket")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return dealt(rows, sizes, ["e", "label", "elements"], "rep").mapInArrow(_compare, "a long, b long")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -166,18 +206,23 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def _own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches(it, 256):
-        sets = [np.unique(shingles(lower_words(t))) for t in raw(b.column(1))]
+        sets = [_stored(x) for x in b.column(1).to_pylist()]
         ids = np.repeat(b.column(0).to_numpy(), [len(s) for s in sets])
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(signed(np.concatenate(sets)))], names=["rep", "shingle"])
 
 
-def own_shingles(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes (rep) -> orep, own: how many of a node's shingles no other node has.  At most that many can't be in an intersection."""
-    texts = nodes.join(docs, F.col("rep") == F.col("doc_id")).select("rep", "text")
-    owners = texts.mapInArrow(_own, "rep long, shingle long").groupBy("shingle").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """sets (rep, elements) -> orep, own: how many of a node's shingles no other node has.  At most that many can't be in an intersection."""
+    owners = sets.mapInArrow(_own, "rep long, shingle long").groupBy("shingle").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
     return owners.where("first = last").groupBy(F.col("first").alias("orep")).agg(F.count("*").alias("own"))
 
 
+def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """rep, elements: the shingle sets of some nodes."""
+    texts = nodes.join(docs.hint("merge"), F.col("rep") == F.col("doc_id")).select("rep", "text")
+    return texts.mapInArrow(_binary, "rep long, elements binary")
+
+
 def near_duplicates(spark: SparkSession, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents by links of Jaccard similarity >= 0.75 on sets of five-word shingles.
 
@@ -199,35 +244,31 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, id_col: str = "do
     live = stash(spark, rows.join(shared, rows.key == shared.skey).select("rep", "n", "key", F.lit(0).cast("long").alias("e"), F.col("rep").alias("label")), "live")
     release(spark, rows)
 
-    links, tested, labels = None, None, None
-    for turn in range(len(HUBS) + 1):
-        pairs = _hub_pairs(live, turn) if turn < len(HUBS) else _cross_pairs(live)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    links, labels = None, None
+    for turn in range(2):
+        pairs = _hub_pairs(live, turn).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stash(spark, pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        found = stash(spark, verified(pairs, docs), "links")
+        found = verified(pairs, docs, "doc_id", "text", _set) if turn == 0 else verified(pairs, sets, "rep", "elements", _stored)
+        found = stash(spark, found, "links")
         links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if turn == len(HUBS):
-            labels = components(spark, links)
-            break
         labels = stash(spark, components(spark, links), "labels")
         # only buckets whose members still are in more than one component go on
         new = live.drop("label").join(labels, live.rep == labels.node, "left").drop("node").withColumn("label", F.coalesce("component", "rep")).drop("component")
         if turn == 0:
             new = stash(spark, _mixed(new), "mixed")
-            own = own_shingles(new.select("rep").distinct(), docs)
+            sets = stash(spark, sets_of(new.select("rep").distinct(), docs), "sets")
+            own = own_shingles(sets)
             new = new.drop("e").join(own, new.rep == own.orep, "left").select("rep", "n", "key", F.coalesce("own", F.lit(0)).alias("e"), "label")
             new = new.where(F.lit(100) * (F.col("n") - F.col("e")) >= F.lit(SIMILAR) * F.col("n"))  # no link can exist beyond that
         live = stash(spark, _mixed(stash(spark, new, "labelled")), "live")
         if live.isEmpty():
             break
+    else:
+        rest = stash(spark, compared(live, sets), "rest")
+        if not rest.isEmpty():
+            labels = stash(spark, components(spark, links.unionByName(rest)), "labels")
     to_rep = same.select(F.col("fp").alias("sfp"), "rep")
-    if labels is not None:
-        to_rep = stash(spark, to_rep.join(labels, F.col("rep") == F.col("node"), "left").select("sfp", F.coalesce("component", "rep").alias("rep")), "classes")
+    to_rep = stash(spark, to_rep.join(labels, F.col("rep") == F.col("node"), "left").select("sfp", F.coalesce("component", "rep").alias("rep")), "classes")
     base = signed_docs.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("fp")).alias("fp"))
     out = base.join(to_rep, base.fp == to_rep.sfp, "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -9,8 +9,8 @@ import pyarrow as pa
 import xxhash
 
 U64 = np.uint64
-#: Entries that a worker's word cache holds before it starts anew (some 60 MB).
-CACHE_WORDS = 400_000
+#: Entries that a worker's word cache holds before it starts anew (some 40 MB).
+CACHE_WORDS = 250_000
 SHINGLE = 5
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=U64)
 
