@@ -91,11 +91,11 @@ def a7(spark, sf):
     return rounded(A.utility_logsum(low.join(w, "dest_id"), "orig_id", 0.5, "value").withColumnRenamed("orig_id", "cell_id"), "logsum")
 
 
-@query("a10_reindex_active", PAIRS + " select a.cell_id, round(g.w, 4) as w from (select cell_id from cells_ where cell_id % 2 = 0) a left join (select cell_id, sum(case when cost >= 0 and cost < 20 then weight end) as w from pairs where cost < 20 group by cell_id) g on a.cell_id = g.cell_id")
+@query("a10_reindex_active", PAIRS + " select a.cell_id, round(g.w, 4) as w from (select cell_id from cells_ where population > 0) a left join (select cell_id, sum(case when cost >= 0 and cost < 20 then weight end) as w from pairs where cost < 20 group by cell_id) g on a.cell_id = g.cell_id")
 def a10(spark, sf):
     near = pairs(spark, sf, 20.0).where("cost < 20")
     m = A.cumulative(near, "cell_id", [(0.0, 20.0)]).withColumnRenamed("w_0_20", "w")
-    return rounded(A.on_active(m, load(spark, sf, "cells").where("cell_id % 2 = 0"), "cell_id"), "w")
+    return rounded(A.on_active(m, load(spark, sf, "cells").where("population > 0"), "cell_id"), "w")
 
 
 QUANT = PAIRS + """, k as (select cell_id, dest_id, cost, weight * exp(-(ln(2) / 80) * cost) as w from pairs where weight > 0),
@@ -317,11 +317,11 @@ def j21(spark, sf):
     return rounded(_lifted(spark, sf).groupBy("tier").agg(F.count("*").alias("n"), F.count("value").alias("n_value"), F.sum("value").alias("s")), "s", digits=2)
 
 
-@query("j22_rekey_nodes", ctes("matrix", "cells") + MATRIX + " select o.cell_id as orig_id, d.cell_id as dest_id, round(mx.value, 4) as value from mx join cells_ o on o.cell_id % 25 = mx.orig_id and o.cell_id <= 100 join cells_ d on d.cell_id % 25 = mx.dest_id and d.cell_id <= 100")
+@query("j22_rekey_nodes", ctes("matrix", "cells") + MATRIX + " select o.cell_id as orig_id, count(*) as n, round(sum(mx.value), 2) as value from mx join cells_ o on o.zone_id = mx.orig_id join cells_ d on d.zone_id = mx.dest_id group by 1")
 def j22(spark, sf):
-    snap = load(spark, sf, "cells").where("cell_id <= 100").select(F.col("cell_id").alias("unit_id"), (F.col("cell_id") % 25).alias("node_id"))
+    snap = load(spark, sf, "cells").select(F.col("cell_id").alias("unit_id"), F.col("zone_id").cast("long").alias("node_id"))
     m = _matrix(spark, sf).select(F.col("orig_id").alias("orig_node"), F.col("dest_id").alias("dest_node"), "value")
-    return rounded(O.rekey(m, snap), "value")
+    return rounded(O.rekey(m, snap).groupBy("orig_id").agg(F.count("*").alias("n"), F.sum("value").alias("value")), "value", digits=2)
 
 
 @query("j23_dest_weights", TIERED + ", zw as (select zone_id, sum(population) as w from cells_ group by zone_id) select tier, count(*) as n, round(sum(case when tier = 'c2c' then c.population else zw.w end), 2) as weight from od left join cells_ c on od.tier = 'c2c' and od.dest_id = c.cell_id left join zw on od.tier <> 'c2c' and od.dest_id = zw.zone_id group by tier")
@@ -387,12 +387,12 @@ def c12(spark, sf):
 @query("c18_network_free_cost", PAIRS + """, b as (select cast(floor(cost / 25) as bigint) as bin, quantile_cont(weight, 0.5) as t from pairs group by 1),
   m as (select bin, 25 * bin + 12.5::double as mid, max(t) over (order by bin rows between unbounded preceding and current row) as t from b),
   s as (select mid, t, lead(mid) over (order by mid) as mid2, lead(t) over (order by mid) as t2 from m),
-  p as (select cell_id, dest_id, cost from pairs where cell_id <= 200)
+  p as (select cell_id, dest_id, cost from pairs)
   select cell_id, dest_id, round(coalesce(s.t + (s.t2 - s.t) * (cost - s.mid) / (s.mid2 - s.mid), case when cost < (select min(mid) from m) then (select arg_min(t, mid) from m) else (select arg_max(t, mid) from m) end), 4) as t from p left join s on p.cost >= s.mid and p.cost < s.mid2""")
 def c18(spark, sf):
     p = pairs(spark, sf)
     bins = p.groupBy(J.bucket("cost", 25).alias("bin")).agg(F.percentile("weight", F.lit(0.5)).alias("t")).withColumn("at", 25 * F.col("bin") + 12.5)
-    out = V.interpolate(p.where("cell_id <= 200").select("cell_id", "dest_id", "cost"), "cost", V.monotone_envelope(bins, "bin", "t"), "at", "t", "t")
+    out = V.interpolate(p.select("cell_id", "dest_id", "cost"), "cost", V.monotone_envelope(bins, "bin", "t"), "at", "t", "t")
     return rounded(out.select("cell_id", "dest_id", "t"), "t")
 
 
@@ -403,9 +403,9 @@ def j26(spark, sf):
     return rounded(b.join(m, "cell_id", "left").select("building_id", "w"), "w")
 
 
-@query("w3_take_before", NEAREST + " select cell_id, dest_id, round(before, 4) as before, round(greatest(0, least(weight, 5000 - before)), 4) as take from ordered where cell_id <= 100")
+@query("w3_take_before", NEAREST + " select cell_id, dest_id, round(before, 4) as before, round(greatest(0, least(weight, 5000 - before)), 4) as take from ordered")
 def w3(spark, sf):
-    t = A.taken(pairs(spark, sf).where("cell_id <= 100"), "cell_id", "dest_id", "cost", "weight")
+    t = A.taken(pairs(spark, sf), "cell_id", "dest_id", "cost", "weight")
     return t.select("cell_id", "dest_id", F.round("_before", 4).alias("before"), F.round(F.greatest(F.lit(0.0), F.least("weight", 5000 - F.col("_before"))), 4).alias("take"))
 
 
@@ -477,11 +477,11 @@ def x1(spark, sf):
 
 
 @query("x2_expected_flows", PAIRS + """, b as (select cell_id, dest_id, population, weight, case when cost < 80 then 0 when cost < 160 then 1 else 2 end as bin from pairs where weight > 0), s as (select *, case bin when 0 then 0.5 when 1 then 0.3 else 0.2 end::double as share, sum(weight) over (partition by cell_id, bin) as inbin from b),
-  t as (select cell_id, sum(share) as tot from (select distinct cell_id, bin, share from s) group by cell_id) select s.cell_id, s.dest_id, round(population * share / tot * weight / inbin, 4) as flow from s join t using (cell_id) where s.cell_id <= 300""")
+  t as (select cell_id, sum(share) as tot from (select distinct cell_id, bin, share from s) group by cell_id) select s.cell_id, s.dest_id, round(population * share / tot * weight / inbin, 4) as flow from s join t using (cell_id)""")
 def x2(spark, sf):
     from isoreach.operators.sampling import expected_flows
 
-    p = pairs(spark, sf).where("cell_id <= 300")
+    p = pairs(spark, sf)
     p = p.withColumn("bin", F.when(F.col("cost") < 80, 0).when(F.col("cost") < 160, 1).otherwise(2))
     p = p.withColumn("share", F.when(F.col("bin") == 0, 0.5).when(F.col("bin") == 1, 0.3).otherwise(0.2))
     return rounded(expected_flows(p, "cell_id", "population", "bin", "share", "weight").select("cell_id", "dest_id", "flow"), "flow")

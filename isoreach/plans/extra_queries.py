@@ -29,16 +29,16 @@ def f30(spark, sf):
     return b.select("building_id", F.round(c["x"], 4).alias("cx"), F.round(c["y"], 4).alias("cy"), F.round(G.area(ring), 4).alias("area"))
 
 
-@query("j11_difference_area", ctes("buildings", "zones") + ", bx as (select zone_id, x as zx0, y as zy0, x + 180 as zx1, y + 140 as zy1 from zones_), h as (select building_id, x0, y0, x0 + 1 as x1, y0 + 1 as y1 from buildings_ where building_id % 37 = 0), c as (select zone_id, sum((least(x1, zx1) - greatest(x0, zx0)) * (least(y1, zy1) - greatest(y0, zy0))) as cut from bx join h on least(x1, zx1) > greatest(x0, zx0) and least(y1, zy1) > greatest(y0, zy0) group by 1) select zone_id, round(180 * 140 - coalesce(cut, 0), 4)::double as area from bx left join c using (zone_id)")
+@query("j11_difference_area", ctes("buildings", "zones") + ", bx as (select zone_id, x as zx0, y as zy0, x + 180 as zx1, y + 140 as zy1 from zones_), h as (select building_id, x0, y0, x0 + 1 as x1, y0 + 1 as y1 from buildings_), c as (select zone_id, sum((least(x1, zx1) - greatest(x0, zx0)) * (least(y1, zy1) - greatest(y0, zy0))) as cut from bx join h on least(x1, zx1) > greatest(x0, zx0) and least(y1, zy1) > greatest(y0, zy0) group by 1) select zone_id, round(180 * 140 - coalesce(cut, 0), 4)::double as area from bx left join c using (zone_id)")
 def j11(spark, sf):
-    holes = load(spark, sf, "buildings").where("building_id % 37 = 0").withColumn("hole", G.square_ring(F.col("x0"), F.col("y0"), 1.0)).select("hole")
+    holes = load(spark, sf, "buildings").withColumn("hole", G.square_ring(F.col("x0"), F.col("y0"), 1.0)).select("hole")
     out = G.difference_area(_boxes(spark, sf).select("zone_id", "ring"), "zone_id", "ring", holes, "hole", 100.0)
     return rounded(out, "area")
 
 
 @query("n14_simplification", None)
 def n14(spark, sf):
-    li = tab(spark, sf, "lineitem").where("l_orderkey % 10 = 0")
+    li = tab(spark, sf, "lineitem")
     lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").cast("double").alias("x"), F.col("l_quantity").cast("double").alias("y")))).alias("line"))
     return G.simplify(lines, "line", 10.0).select("l_orderkey", F.size("line").alias("n"), F.round(G.length(F.col("line")), 4).alias("length"))
 
@@ -66,17 +66,16 @@ def z4(spark, sf):
     return X.radius_densities(g, "v", 2000.0, "land", "built").select("zone_id", "v_per_km2", "v_per_land_km2", "v_per_built_km2")
 
 
-@query("p4_survey_gates", "select o_orderkey from orders where o_orderkey % 3 = 1 and (o_orderkey % 4 = 1 or o_orderkey % 5 = 0)")
+@query("p4_survey_gates", "select o_orderkey from orders where o_totalprice > 100000 and o_orderstatus in ('O', 'P')")
 def p4(spark, sf):
-    o = tab(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 3 == 1).cast("int").alias("is_valid"), F.when(F.col("o_orderkey") % 5 != 0, (F.col("o_orderkey") % 4 == 1).cast("int")).alias("is_land_based"))
-    fixed = o.withColumn("is_land_based", F.when(F.col("o_orderkey") % 4 == 1, 1).otherwise(F.col("is_land_based")))
-    return X.gates(fixed, ["is_valid", "is_land_based", "is_missing"], ("is_land_based",)).select("o_orderkey")
+    flags = {"is_valid": (F.col("o_totalprice") > 100000).cast("int"), "is_land_based": F.when(F.col("o_orderstatus") != "P", (F.col("o_orderstatus") == "O").cast("int"))}
+    return X.gates(tab(spark, sf, "orders").withColumns(flags), ["is_valid", "is_land_based", "is_missing"], ("is_land_based",)).select("o_orderkey")
 
 
-@query("p5_both_ends_inside", ctes("cells", "zones") + ", bx as (select x as bx0, y as by0, x + 180 as bx1, y + 140 as by1 from zones_ where zone_id < 12), t as (select cell_id, x, y, (x * 3 + 17) % 1000 as dx, (y * 7 + 5) % 1000 as dy from cells_) select cell_id from t where exists (select 1 from bx where x >= bx0 and x < bx1 and y >= by0 and y < by1) and exists (select 1 from bx where dx >= bx0 and dx < bx1 and dy >= by0 and dy < by1)")
+@query("p5_both_ends_inside", ctes("cells", "zones") + ", bx as (select x as bx0, y as by0, x + 180 as bx1, y + 140 as by1 from zones_ where region_id <> 1), t as (select cell_id, x, y, (x * 3 + 17) % 1000 as dx, (y * 7 + 5) % 1000 as dy from cells_) select cell_id from t where exists (select 1 from bx where x >= bx0 and x < bx1 and y >= by0 and y < by1) and exists (select 1 from bx where dx >= bx0 and dx < bx1 and dy >= by0 and dy < by1)")
 def p5(spark, sf):
     t = load(spark, sf, "cells").select("cell_id", F.col("x").alias("ox"), F.col("y").alias("oy"), ((F.col("x") * 3 + 17) % 1000).alias("dx"), ((F.col("y") * 7 + 5) % 1000).alias("dy"))
-    return X.both_ends_inside(t, "cell_id", _boxes(spark, sf).where("zone_id < 12").select("zone_id", "ring")).select("cell_id")
+    return X.both_ends_inside(t, "cell_id", _boxes(spark, sf).join(load(spark, sf, "zones").where("region_id <> 1").select("zone_id"), "zone_id", "left_semi").select("zone_id", "ring")).select("cell_id")
 
 
 @query("p8_distance_filter", PAIRS + " select cell_id, dest_id from pairs where cost > 20 and cost <= 35")
@@ -84,16 +83,16 @@ def p8(spark, sf):
     return pairs(spark, sf, 35.0).where("cost > 20 and cost <= 35").select("cell_id", "dest_id")
 
 
-@query("p10_eligible_cells", ctes("cells") + " select cell_id from cells_ where cell_id % 5 > 0 and zone_id % 4 > 0 and cell_id % 3 = 0")
+@query("p10_eligible_cells", ctes("cells", "zones") + " select cell_id from cells_ c join zones_ z on z.zone_id = c.zone_id and z.region_id <> 2 where population > 0 and c.x < 500")
 def p10(spark, sf):
-    cells = load(spark, sf, "cells").withColumns({"node_id": F.when(F.col("cell_id") % 5 > 0, F.col("cell_id")), "is_active": (F.col("cell_id") % 3 == 0).cast("int")})
-    zones = load(spark, sf, "zones").withColumn("node_id", F.when(F.col("zone_id") % 4 > 0, F.col("zone_id")))
+    cells = load(spark, sf, "cells").withColumns({"node_id": F.when(F.col("population") > 0, F.col("cell_id")), "is_active": (F.col("x") < 500).cast("int")})
+    zones = load(spark, sf, "zones").withColumn("node_id", F.when(F.col("region_id") != 2, F.col("zone_id")))
     return X.eligible_cells(cells, zones, origins=True).select("cell_id")
 
 
-@query("p11_non_empty", ctes("cells") + " select cell_id from cells_ where population > 0 or cell_id % 7 = 0")
+@query("p11_non_empty", ctes("cells") + " select cell_id from cells_ where population > 0 or segment = 'BUILDING'")
 def p11(spark, sf):
-    return X.non_empty(load(spark, sf, "cells").withColumns({"employment": F.lit(0), "n_pois": (F.col("cell_id") % 7 == 0).cast("int")})).select("cell_id")
+    return X.non_empty(load(spark, sf, "cells").withColumns({"employment": F.lit(0), "n_pois": (F.col("segment") == "BUILDING").cast("int")})).select("cell_id")
 
 
 @query("p15_tiny_geometry", ctes("buildings") + " select building_id from buildings_ where area >= 25")
@@ -159,9 +158,9 @@ def v4(spark, sf):
     return rounded(out, *[c for c in out.columns if c not in ("group", "column", "n")])
 
 
-@query("r8_exact_check", PAIRS + " select count(*) as n, round(max(abs(cost - (cost + cell_id % 3))), 6)::double as worst from pairs where cell_id <= 100")
+@query("r8_exact_check", PAIRS + " select count(*) as n, round(max(abs(cost - (cost + cell_id % 3))), 6)::double as worst from pairs")
 def r8(spark, sf):
-    p = pairs(spark, sf).where("cell_id <= 100").select("cell_id", "dest_id", F.col("cost").alias("value"))
+    p = pairs(spark, sf).select("cell_id", "dest_id", F.col("cost").alias("value"))
     out = X.worst_difference(p, p.withColumn("value", F.col("value") + F.col("cell_id") % 3), ["cell_id", "dest_id"])
     return rounded(out, "worst", digits=6)
 
@@ -191,8 +190,8 @@ def n16(spark, sf):
 
 @query("n9_sidepaths", None)
 def n9(spark, sf):
-    ways = load(spark, sf, "dests").select(F.col("dest_id").alias("way_id"), F.col("dx").alias("x0"), F.col("dy").alias("y0"), (F.col("dx") + 30).alias("x1"), (F.col("dy") + 5).alias("y1"))
-    return X.alongside(ways.where("way_id % 2 = 0"), ways.where("way_id % 2 = 1"))
+    ways = load(spark, sf, "dests").select(F.col("dest_id").alias("way_id"), "category", F.col("dx").alias("x0"), F.col("dy").alias("y0"), (F.col("dx") + 30).alias("x1"), (F.col("dy") + 5).alias("y1"))
+    return X.alongside(ways.where("category = 0"), ways.where("category <> 0").withColumn("x1", F.col("x0") + 400))
 
 
 @query("e10_availability", "select o_orderkey, cast(coalesce(o_totalprice / 100 < 1200, false) as int) as av_car, cast(coalesce(o_totalprice / 60 < 1200, false) and o_orderkey % 2 = 1 as int) as av_bike from orders")
@@ -246,10 +245,10 @@ def s20(spark, sf):
     return X.clean_sentinels(tab(spark, sf, "customer"), ["c_acctbal"]).select("c_custkey", "c_acctbal")
 
 
-@query("s21_traffic_zones", "select case when n_nationkey % 3 = 0 then 'ZD' else 'ZF' end || n_nationkey as zone_id, case when n_nationkey % 3 = 0 then n_nationkey * 2.0 else n_nationkey * 1.0 end::double as x, 5.0::double as y, n_nationkey % 3 = 0 as is_domestic from nation")
+@query("s21_traffic_zones", "select case when n_regionkey = 0 then 'ZD' else 'ZF' end || n_nationkey as zone_id, case when n_regionkey = 0 then n_nationkey * 2.0 else n_nationkey * 1.0 end::double as x, 5.0::double as y, n_regionkey = 0 as is_domestic from nation")
 def s21(spark, sf):
-    z = tab(spark, sf, "nation").select(F.col("n_nationkey").alias("zone_no"), (F.col("n_nationkey") * 1.0).cast("double").alias("x"), F.lit(5.0).alias("y"))
-    return X.traffic_zones(z, z.where("zone_no % 3 = 0").withColumn("x", F.col("x") * 2))
+    z = tab(spark, sf, "nation").select("n_regionkey", F.col("n_nationkey").alias("zone_no"), (F.col("n_nationkey") * 1.0).cast("double").alias("x"), F.lit(5.0).alias("y"))
+    return X.traffic_zones(z, z.where("n_regionkey = 0").withColumn("x", F.col("x") * 2))
 
 
 @query("s30_counters", "select s_suppkey, case when s_suppkey % 4 >= 1 then s_suppkey % 4 else 0.9 * (s_suppkey % 5) end::double as cars from supplier where case when s_suppkey % 4 >= 1 then s_suppkey % 4 else 0.9 * (s_suppkey % 5) end > 0")
@@ -280,7 +279,7 @@ def n5(spark, sf):
     from isoreach.operators import graph as N
     from isoreach.plans.network_queries import edges
 
-    e = edges(spark, sf).where("rank < 2").select("u", "v", F.col("w").alias("length"))
+    e = edges(spark, sf).select("u", "v", F.col("w").alias("length"))
     return rounded(N.collapse_chains(spark, e), "length")
 
 
@@ -290,21 +289,21 @@ def n13(spark, sf):
     return tab(spark, sf, "orders").select("o_orderkey", X.filled_speed(F.when(k % 3 == 0, 30.0), F.when(k % 5 == 0, 80.0)).alias("kph"))
 
 
-@query("n21_snap_flags", PAIRS + ", a as (select distinct cell_id from pairs where cost <= 20), b as (select distinct cell_id from pairs where cost <= 40 and category = 1) select c.cell_id, cast(c.cell_id % 2 = 0 and a.cell_id is not null and b.cell_id is not null as int) as is_active from cells_ c left join a on a.cell_id = c.cell_id left join b on b.cell_id = c.cell_id")
+@query("n21_snap_flags", PAIRS + ", a as (select distinct cell_id from pairs where cost <= 20), b as (select distinct cell_id from pairs where cost <= 40 and category = 1) select c.cell_id, cast(c.x < 500 and a.cell_id is not null and b.cell_id is not null as int) as is_active from cells_ c left join a on a.cell_id = c.cell_id left join b on b.cell_id = c.cell_id")
 def n21(spark, sf):
     from isoreach.operators import graph as N
 
-    cells = load(spark, sf, "cells").withColumn("is_aoi", (F.col("cell_id") % 2 == 0).cast("int"))
+    cells = load(spark, sf, "cells").withColumn("is_aoi", (F.col("x") < 500).cast("int"))
     nodes = load(spark, sf, "dests").select(F.col("dest_id").alias("node_id"), "dx", "dy", "category")
     snap = lambda n, r: J.nearest(cells.select("cell_id", "x", "y"), "cell_id", n, "node_id", r).select("cell_id", "node_id", F.col("dist").alias("snap_distance"))
     return N.snap_flags({"walk": snap(nodes, 20.0), "car": snap(nodes.where("category = 1"), 40.0)}, cells).select("cell_id", "is_active")
 
 
-@query("t5_t6_leg_times", "select o_orderkey as leg_id, case when o_orderkey % 2 = 0 then o_totalprice end as time_car, case when o_orderkey % 3 = 0 then o_totalprice * 2 end as time_bike, a.c_acctbal as overhead_orig, b.c_acctbal as overhead_dest from orders left join customer a on a.c_custkey = o_custkey left join customer b on b.c_custkey = o_custkey + 7")
+@query("t5_t6_leg_times", "select o_orderkey as leg_id, case when o_totalprice > 100000 then o_totalprice end as time_car, case when o_totalprice < 250000 then o_totalprice * 2 end as time_bike, a.c_acctbal as overhead_orig, b.c_acctbal as overhead_dest from orders left join customer a on a.c_custkey = o_custkey left join customer b on b.c_custkey = o_custkey + 7")
 def t5(spark, sf):
     o = tab(spark, sf, "orders").select(F.col("o_orderkey").alias("leg_id"), F.col("o_custkey").alias("orig_cell"), (F.col("o_custkey") + 7).alias("dest_cell"), "o_totalprice")
     c = tab(spark, sf, "customer").select(F.col("c_custkey").alias("cell_id"), F.col("c_acctbal").alias("overhead"))
-    times = X.leg_times(o, {"car": o.where("leg_id % 2 = 0").select("leg_id", F.col("o_totalprice").alias("cost")), "bike": o.where("leg_id % 3 = 0").select("leg_id", (F.col("o_totalprice") * 2).alias("cost"))})
+    times = X.leg_times(o, {"car": o.where("o_totalprice > 100000").select("leg_id", F.col("o_totalprice").alias("cost")), "bike": o.where("o_totalprice < 250000").select("leg_id", (F.col("o_totalprice") * 2).alias("cost"))})
     return X.leg_overheads(times, c).select("leg_id", "time_car", "time_bike", "overhead_orig", "overhead_dest")
 
 
@@ -320,9 +319,9 @@ def s32(spark, sf):
     return formats.hectare_points(ids).select("cell_id", "x", "y")
 
 
-@query("s12_clipped_source", ctes("cells", "zones") + ", bx as (select x as bx0, y as by0, x + 180 as bx1, y + 140 as by1 from zones_ where zone_id < 4) select distinct cell_id from cells_ c join bx b on c.x >= bx0 and c.x < bx1 and c.y >= by0 and c.y < by1")
+@query("s12_clipped_source", ctes("cells", "zones") + ", bx as (select x as bx0, y as by0, x + 180 as bx1, y + 140 as by1 from zones_ where region_id = 0) select distinct cell_id from cells_ c join bx b on c.x >= bx0 and c.x < bx1 and c.y >= by0 and c.y < by1")
 def s12(spark, sf):
-    return formats.clip(load(spark, sf, "cells").select("cell_id", "x", "y"), _boxes(spark, sf).where("zone_id < 4").select("ring")).select("cell_id")
+    return formats.clip(load(spark, sf, "cells").select("cell_id", "x", "y"), _boxes(spark, sf).join(load(spark, sf, "zones").where("region_id = 0").select("zone_id"), "zone_id", "left_semi").select("ring")).select("cell_id")
 
 
 @query("s25_raster_points", "select 2000.0 + ((l_suppkey % 100) + 0.5) * 30 as x, 9000.0 - ((l_partkey % 100) + 0.5) * 30 as y, l_quantity as value from lineitem where l_quantity > 10 and l_quantity <> 50")
@@ -331,10 +330,10 @@ def s25(spark, sf):
     return formats.pixels_to_points(px, 2000.0, 9000.0, 30.0, 50.0)
 
 
-@query("s27_merged_pages", "with u as (select event_id, user_id, value from events where event_id % 2 = 0 union all select event_id, user_id, value + 1 from events where event_id % 3 = 0) select event_id, min(value) as value from u group by 1")
+@query("s27_merged_pages", "with u as (select event_id, user_id, value from events where value > 20 union all select event_id, user_id, value + 1 from events where value < 60) select event_id, min(value) as value from u group by 1")
 def s27(spark, sf):
     e = load(spark, sf, "events").select("event_id", "user_id", "value")
-    return formats.merge_pages([e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1)], "event_id", "value").select("event_id", "value")
+    return formats.merge_pages([e.where("value > 20"), e.where("value < 60").withColumn("value", F.col("value") + 1)], "event_id", "value").select("event_id", "value")
 
 
 @query("f17_f18_validity", ctes("cells") + " select cell_id, cast(x > 0 and x < 600 and y > 0 and y < 600 as int) as band, cast(x > 0 and x < 600 and y > 0 and y < 600 and population > 0 as int) as valid from cells_")

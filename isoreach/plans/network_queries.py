@@ -132,12 +132,12 @@ def s10(spark, sf):
 
 # ---- graphs ----
 
-EDGES = ctes("edges").replace("with edges_", "with e0 as (select o_orderkey as way_id, o_custkey % 997 as u, (o_custkey * 7 + o_orderkey) % 997 as v, round(o_totalprice / 1000, 2) as w, o_orderkey % 8 as rank from orders where o_orderkey % 7 = 0), edges_")
+EDGES = ctes("edges").replace("with edges_", "with e0 as (select o_orderkey as way_id, o_custkey as u, (o_custkey * 7 + o_orderkey) % 1499 as v, round(o_totalprice / 1000, 2) as w, o_orderkey % 8 as rank from orders), edges_")
 
 
 def edges(spark, sf):
-    o = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 7 = 0")
-    return o.selectExpr("o_orderkey as way_id", "o_custkey % 997 as u", "(o_custkey * 7 + o_orderkey) % 997 as v", "round(o_totalprice / 1000, 2) as w", "o_orderkey % 8 as rank")
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.selectExpr("o_orderkey as way_id", "o_custkey as u", "(o_custkey * 7 + o_orderkey) % 1499 as v", "round(o_totalprice / 1000, 2) as w", "o_orderkey % 8 as rank")
 
 
 _UND = EDGES + ", und as (select distinct least(u, v) as a, greatest(u, v) as b from e0 where u <> v), nb as (select node_id, count(*) as n from (select a as node_id, b as o from und union all select b, a from und) group by 1)"
@@ -163,15 +163,15 @@ def n6(spark, sf):
     return N.prune_dead_ends(edges(spark, sf).withColumnRenamed("w", "length"), 200.0).select("way_id")
 
 
-@query("n3_weak_components", EDGES.replace("with ", "with recursive ", 1) + """, und as (select distinct u as a, v as b from e0 where rank < 1 union select distinct v, u from e0 where rank < 1),
+@query("n3_weak_components", EDGES.replace("with ", "with recursive ", 1) + """, und as (select distinct u as a, v as b from e0 union select distinct v, u from e0),
   reach as (select distinct a as node_id, a as root from und union select und.b, reach.root from reach join und on und.a = reach.node_id) select node_id, min(root) as component from reach group by node_id""")
 def n3(spark, sf):
-    return N.weak_components(spark, edges(spark, sf).where("rank < 1"))
+    return N.weak_components(spark, edges(spark, sf))
 
 
-@query("n4_strong_component", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select distinct u, v from e0 where rank < 2), f as (select 5::bigint as node_id union select v from f join e1 on u = node_id), g as (select 5::bigint as node_id union select u from g join e1 on v = node_id) select node_id from f intersect select node_id from g""")
+@query("n4_strong_component", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select distinct u, v from e0), f as (select 5::bigint as node_id union select v from f join e1 on u = node_id), g as (select 5::bigint as node_id union select u from g join e1 on v = node_id) select node_id from f intersect select node_id from g""")
 def n4(spark, sf):
-    return N.strong_component(spark, edges(spark, sf).where("rank < 2"), 5)
+    return N.strong_component(spark, edges(spark, sf), 5)
 
 
 @query("n17_nodes_to_edges", EDGES + ", nd as (select u as node_id, avg(w) as z from e0 group by u) select way_id, round((a.z + b.z) / 2, 8) as z from e0 left join nd a on a.node_id = u left join nd b on b.node_id = v")
@@ -195,12 +195,12 @@ def g24(spark, sf):
     return N.round_trip_speed(e).select("a", "b", F.round("speed_kph", 4).alias("speed_kph"))
 
 
-WAYS = "with w0 as (select l_orderkey as way_id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey % 400) as pos, l_partkey % 400 as node_id from lineitem where l_orderkey % 5 = 0), uses as (select node_id, count(*) as n, bool_or(pos = lo or pos = hi) as is_end from w0 join (select way_id, min(pos) as lo, max(pos) as hi from w0 group by 1) using (way_id) group by node_id)"
+WAYS = "with w0 as (select l_orderkey as way_id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) as pos, l_partkey as node_id from lineitem), uses as (select node_id, count(*) as n, bool_or(pos = lo or pos = hi) as is_end from w0 join (select way_id, min(pos) as lo, max(pos) as hi from w0 group by 1) using (way_id) group by node_id)"
 
 
 def node_lists(spark, sf):
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 5 = 0")
-    g = li.groupBy(F.col("l_orderkey").alias("way_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", (F.col("l_partkey") % 400).alias("n")))).alias("s"))
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    g = li.groupBy(F.col("l_orderkey").alias("way_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", F.col("l_partkey").alias("n")))).alias("s"))
     return g.select("way_id", F.transform("s", lambda x: x["n"]).alias("nodes"))
 
 
@@ -215,25 +215,25 @@ def n2(spark, sf):
     return N.segments(node_lists(spark, sf))
 
 
-@query("r1_relaxation", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0 where u < 20),
+@query("r1_relaxation", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0),
   s as (select origin, origin as node, 0.0::double as cost, 0 as hops from o union all select s.origin, e1.v, s.cost + e1.w, s.hops + 1 from s join e1 on e1.u = s.node where s.cost + e1.w <= 60 and s.hops < 12)
   select origin, node, round(min(cost), 4) as cost from s group by 1, 2""")
 def r1(spark, sf):
     e = edges(spark, sf)
-    return R.relax(spark, e, e.where("u < 20").select(F.col("u").alias("origin")).distinct(), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
+    return R.relax(spark, e, e.select(F.col("u").alias("origin")).distinct(), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
 
 
-@query("r2_batched_search", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0 where u < 20),
+@query("r2_batched_search", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0),
   s as (select origin, origin as node, 0.0::double as cost, 0 as hops from o union all select s.origin, e1.v, s.cost + e1.w, s.hops + 1 from s join e1 on e1.u = s.node where s.cost + e1.w <= 60 and s.hops < 12)
   select origin, node, round(min(cost), 4) as cost from s group by 1, 2""")
 def r2(spark, sf):
     e = edges(spark, sf)
-    return R.batched(spark, e, e.where("u < 20").select(F.col("u").alias("origin")), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
+    return R.batched(spark, e, e.select(F.col("u").alias("origin")), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
 
 
 def _trip_paths(spark, sf):
     e = edges(spark, sf)
-    trips = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey <= 200").selectExpr("c_custkey as trip_id", "c_custkey % 97 as origin", "(c_custkey * 31) % 97 as dest")
+    trips = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("c_custkey as trip_id", "c_nationkey + 1 as origin", "(c_custkey * 31) % 1499 as dest")
     return e, R.paths(spark, e, trips)
 
 
@@ -250,10 +250,9 @@ def r5(spark, sf):
     return R.betweenness(p, e)
 
 
-@query("r6_best_via", "with a as (select c_custkey as orig_id, c_custkey % 25 as stop, c_custkey % 17 as cost from customer where c_custkey <= 300 union all select c_custkey, (c_custkey + 3) % 25, c_custkey % 11 from customer where c_custkey <= 300), m as (select l_suppkey % 25 as f, l_partkey % 25 as t, min(l_quantity) as cost from lineitem group by 1, 2), e as (select s_suppkey as dest_id, s_suppkey % 25 as stop, s_suppkey % 7 as cost from supplier) select orig_id, dest_id, min(a.cost + m.cost + e.cost) as cost from a join m on a.stop = f join e on t = e.stop group by 1, 2")
+@query("r6_best_via", "with a as (select c_custkey as orig_id, c_custkey % 25 as stop, c_custkey % 17 as cost from customer union all select c_custkey, (c_custkey + 3) % 25, c_custkey % 11 from customer), m as (select l_suppkey % 25 as f, l_partkey % 25 as t, min(l_quantity) as cost from lineitem group by 1, 2), e as (select s_suppkey as dest_id, s_suppkey % 25 as stop, s_suppkey % 7 as cost from supplier) select orig_id, dest_id, min(a.cost + m.cost + e.cost) as cost from a join m on a.stop = f join e on t = e.stop group by 1, 2")
 def r6(spark, sf):
     c, li, s = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("customer", "lineitem", "supplier"))
-    c = c.where("c_custkey <= 300")
     a = c.selectExpr("c_custkey as orig_id", "c_custkey % 25 as stop", "c_custkey % 17 as cost").union(c.selectExpr("c_custkey", "(c_custkey + 3) % 25", "c_custkey % 11"))
     m = li.selectExpr("l_suppkey % 25 as from_stop", "l_partkey % 25 as to_stop", "l_quantity").groupBy("from_stop", "to_stop").agg(F.min("l_quantity").alias("cost"))
     return R.best_via(a, m, s.selectExpr("s_suppkey as dest_id", "s_suppkey % 25 as stop", "s_suppkey % 7 as cost"))
@@ -310,7 +309,7 @@ def d8(spark, sf):
 
 @query("d4_nnls_intensities", None)
 def d4(spark, sf):
-    b, cells = load(spark, sf, "buildings").where("length(tag) % 2 = 0"), _cell_boxes(spark, sf)
+    b, cells = load(spark, sf, "buildings"), _cell_boxes(spark, sf)
     return D.fit_intensities(spark, D.area_long(b, cells, 400.0), cells.select("cell_id", "total"))
 
 
@@ -321,16 +320,16 @@ def f37(spark, sf):
 
 # ---- trips ----
 
-LEGS = """with l as (select conv_id || '_' || turn as leg_id, conv_id as trip_id, case turn % 4 when 0 then 'walk' when 1 then 'transit' when 2 then 'walk' else 'car' end as mode, turn, length(text) * 2.0::double as dist from conversations where turn < 5),
+LEGS = """with l as (select conv_id || '_' || turn as leg_id, conv_id as trip_id, case when turn % 4 = 1 then 'transit' when turn % 4 = 3 and conv_id % 5 = 0 then 'car' else 'walk' end as mode, turn, length(text) * 2.0::double as dist from conversations),
   legs as (select *, count(*) over (partition by trip_id) as n_legs_in_trip from l)"""
 
 
 def legs(spark, sf):
     from pyspark.sql import Window
 
-    c = spark.read.parquet(f"{sf}/conversations.parquet").where("turn < 5")
+    c = spark.read.parquet(f"{sf}/conversations.parquet")
     t = F.col("turn") % 4
-    mode = F.when(t == 1, "transit").when(t == 3, "car").otherwise("walk")
+    mode = F.when(t == 1, "transit").when((t == 3) & (F.col("conv_id") % 5 == 0), "car").otherwise("walk")
     d = F.length("text") * 2.0
     out = c.select(F.concat_ws("_", "conv_id", "turn").alias("leg_id"), F.col("conv_id").alias("trip_id"), mode.alias("mode"), "turn", d.alias("dist_measured"))
     out = out.withColumn("n_legs_in_trip", F.count("*").over(Window.partitionBy("trip_id")))
@@ -396,10 +395,10 @@ def e9(spark, sf):
     return _one_row(spark, E.multinomial_logit(c, "choice", {"car": {"asc_car": "1", "b_time": "t_car"}, "bus": {"b_time": "t_bus"}}, rounds=15))
 
 
-@query("x3_volume_ratio", EDGES + " select way_id as edge_id, round(10 * w, 4) as flow_estimate, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double as capacity, round(power(least(10 * w / (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2), 2), 2), 8) as vc_beta from e0 where way_id % 2 = 0 union all select way_id, 0, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double, 0 from e0 where way_id % 2 = 1")
+@query("x3_volume_ratio", EDGES + " select way_id as edge_id, round(10 * w, 4) as flow_estimate, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double as capacity, round(power(least(10 * w / (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2), 2), 2), 8) as vc_beta from e0 where rank >= 4 union all select way_id, 0, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double, 0 from e0 where rank < 4")
 def x3(spark, sf):
     from isoreach.operators.sampling import volume_ratio
 
     e = edges(spark, sf).select(F.col("way_id").alias("edge_id"), "w", "rank", F.lit(2.0).alias("lanes"))
-    out = volume_ratio(e, e.where("edge_id % 2 = 0").select("edge_id", F.col("w").alias("flow")), 10.0, [2.0])
+    out = volume_ratio(e, e.where("rank >= 4").select("edge_id", F.col("w").alias("flow")), 10.0, [2.0])
     return out.select("edge_id", F.round("flow_estimate", 4).alias("flow_estimate"), "capacity", F.round(F.col("`vc_beta_2.0`"), 8).alias("vc_beta"))

@@ -16,9 +16,9 @@ def rounded(df, *cols: str, digits: int = 4):
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
-@query("j1_keyed_lookup", ctes("cells", "zones") + " select cell_id, region_id from cells_ c left join (select * from zones_ where zone_id < 20) z on c.zone_id = z.zone_id")
+@query("j1_keyed_lookup", ctes("cells", "zones") + " select cell_id, region_id from cells_ c left join (select * from zones_ where region_id <> 2) z on c.zone_id = z.zone_id")
 def j1(spark, sf):
-    z = load(spark, sf, "zones").where("zone_id < 20").select("zone_id", "region_id")
+    z = load(spark, sf, "zones").where("region_id <> 2").select("zone_id", "region_id")
     return load(spark, sf, "cells").join(z, "zone_id", "left").select("cell_id", "region_id")
 
 
@@ -29,10 +29,10 @@ def j2(spark, sf):
     return K.layered([c.select("cell_id", "zone_id", "population"), later], "cell_id").select("cell_id", "zone_id", "population")
 
 
-@query("j28_private_override", ctes("cells") + ", priv as (select cell_id, population * 3 as population from cells_ where cell_id % 4 = 0) select c.cell_id, round(case when c.zone_id < 5 then coalesce(p.population, 0) else c.population end, 4) as population from cells_ c left join priv p on p.cell_id = c.cell_id")
+@query("j28_private_override", ctes("cells") + ", priv as (select cell_id, population * 3 as population from cells_ where segment = 'BUILDING') select c.cell_id, round(case when c.zone_id < 5 then coalesce(p.population, 0) else c.population end, 4) as population from cells_ c left join priv p on p.cell_id = c.cell_id")
 def j28(spark, sf):
     c = load(spark, sf, "cells").select("cell_id", "zone_id", "population")
-    priv = c.where("cell_id % 4 = 0").select("cell_id", (F.col("population") * 3).alias("population"))
+    priv = load(spark, sf, "cells").where("segment = 'BUILDING'").select("cell_id", (F.col("population") * 3).alias("population"))
     return rounded(K.override(c, priv, "cell_id", ["population"], c.where("zone_id < 5").select("cell_id")).select("cell_id", "population"), "population")
 
 
@@ -244,22 +244,22 @@ def o6(spark, sf):
     return spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).withColumn("ord", order).orderBy("ord", "l_linestatus")
 
 
-@query("u1_union_by_name", "select c_custkey as id, c_acctbal as balance, cast(null as varchar) as brand from customer where c_custkey <= 50 union all select p_partkey, null, p_brand from part where p_partkey <= 50")
+@query("u1_union_by_name", "select c_custkey as id, c_acctbal as balance, cast(null as varchar) as brand from customer union all select p_partkey, null, p_brand from part")
 def u1(spark, sf):
-    a = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey <= 50").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
-    b = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey <= 50").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
+    a = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    b = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("u2_union_distinct", "select c_nationkey as k from customer where c_custkey < 40 union select s_nationkey from supplier")
+@query("u2_union_distinct", "select c_nationkey as k from customer union select s_nationkey from supplier")
 def u2(spark, sf):
-    return spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey < 40").select(F.col("c_nationkey").alias("k")).union(spark.read.parquet(f"{sf}/supplier.parquet").select("s_nationkey")).distinct()
+    return spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_nationkey").alias("k")).union(spark.read.parquet(f"{sf}/supplier.parquet").select("s_nationkey")).distinct()
 
 
-@query("u3_u5_set_differences", "select 'both' as part, k from (select distinct c_nationkey as k from customer where c_custkey < 30 intersect select s_nationkey from supplier where s_suppkey < 30) union all select 'left', k from (select distinct c_nationkey as k from customer where c_custkey < 30 except select s_nationkey from supplier where s_suppkey < 30) union all select 'right', k from (select distinct s_nationkey as k from supplier where s_suppkey < 30 except select c_nationkey from customer where c_custkey < 30)")
+@query("u3_u5_set_differences", "select 'both' as part, k from (select distinct c_nationkey as k from customer where c_acctbal > 9500 intersect select s_nationkey from supplier where s_acctbal > 3000) union all select 'left', k from (select distinct c_nationkey as k from customer where c_acctbal > 9500 except select s_nationkey from supplier where s_acctbal > 3000) union all select 'right', k from (select distinct s_nationkey as k from supplier where s_acctbal > 3000 except select c_nationkey from customer where c_acctbal > 9500)")
 def u3(spark, sf):
-    a = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey < 30").select(F.col("c_nationkey").alias("k"))
-    b = spark.read.parquet(f"{sf}/supplier.parquet").where("s_suppkey < 30").select(F.col("s_nationkey").alias("k"))
+    a = spark.read.parquet(f"{sf}/customer.parquet").where("c_acctbal > 9500").select(F.col("c_nationkey").alias("k"))
+    b = spark.read.parquet(f"{sf}/supplier.parquet").where("s_acctbal > 3000").select(F.col("s_nationkey").alias("k"))
     tag = lambda df, name: df.select(F.lit(name).alias("part"), "k")
     return tag(a.intersect(b), "both").unionByName(tag(a.subtract(b), "left")).unionByName(tag(b.subtract(a), "right"))
 
