@@ -17,14 +17,16 @@ grows with the corpus, while the driver only ever holds one model.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoreach.llm.runtime import ship
-from isoreach.llm.textcore import U64, batches, lower_words, mix, raw, signed, word_hashes
+from isoreach.llm.textcore import CACHE_WORDS, U64, batches, lower_words, mix, raw, signed, word_hashes
 
 #: Clusters and tokens in each; SHARED slots are for the tokens outside the most frequent ones, by hash.
 CLUSTERS, WIDTH, SHARED = 32, 32, 64
@@ -34,6 +36,8 @@ HIDDEN = 16
 #: One position in STRIDE is masked; minibatches grow from LEAST to MOST as a task has seen more.
 STRIDE, ROUNDS, LEAST, MOST, RATE = 8, 2, 128, 2048, 0.08
 SEED = 41
+#: Largest weights: a sum of 16 weights and a bias stays below 85, which exp() can take.
+BOUND = {"emb": 20.0, "bias": 20.0, "cw": 4.0, "cb": 20.0, "tw": 4.0, "tb": 20.0}
 
 _SHAPES = {"emb": (len(OFFSETS), VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN, CLUSTERS), "cb": (CLUSTERS,), "tw": (CLUSTERS, HIDDEN, WIDTH), "tb": (CLUSTERS, WIDTH)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
@@ -48,30 +52,31 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-class Vocabulary:
-    """Token hashes -> ids; ids below VOCAB - SHARED are the most frequent tokens, the others are shared by hash."""
+class Vocabulary(dict):
+    """Tokens -> ids; ids below VOCAB - SHARED are the most frequent tokens, the others are shared by hash.  Tokens seen are kept."""
 
     def __init__(self, hashes: np.ndarray) -> None:
-        order = np.argsort(hashes)
-        self.sorted, self.rank = hashes[order], order
+        super().__init__()
+        self.rank = {int(h): k for k, h in enumerate(hashes)}
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        out = (VOCAB - SHARED + (h >> U64(20)) % U64(SHARED)).astype(np.int64)
-        if len(self.sorted):
-            at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-            hit = self.sorted[at] == h
-            out[hit] = self.rank[at[hit]]
-        return out
+    def __reduce__(self):  # the tokens seen stay behind
+        return Vocabulary, (np.array(list(self.rank), dtype=U64),)
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        h = xxhash.xxh3_64_intdigest(token)
+        self[token] = k = self.rank.get(h, VOCAB - SHARED + (h >> 20) % SHARED)
+        return k
 
 
 def encode(texts: list[bytes | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids with two pads around each text, places of the tokens in it, tokens of each text)."""
     words = [lower_words(t) for t in texts]
     sizes = np.array([len(w) for w in words], dtype=np.int64)
-    every = [x for w in words for x in w]
-    ids = vocabulary.ids(word_hashes(every))
+    ids = np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(words)), dtype=np.int32, count=int(sizes.sum()))
     place = np.arange(len(ids)) + 2 * np.repeat(np.arange(1, len(texts) + 1), sizes)
-    padded = np.full(len(ids) + 2 * len(texts) + 2, VOCAB, dtype=np.int64)
+    padded = np.full(len(ids) + 2 * len(texts) + 2, VOCAB, dtype=np.int32)
     padded[place] = ids
     return padded, place, sizes
 
@@ -84,33 +89,38 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def hidden(m: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    x = m["emb"][0][context[0]] + m["bias"]
+    x = m["emb"][0].take(context[0], axis=0)
     for o in range(1, len(OFFSETS)):
-        x += m["emb"][o][context[o]]
-    return np.tanh(x)
+        x += m["emb"][o].take(context[o], axis=0)
+    x += m["bias"]
+    return np.tanh(x, out=x)
 
 
 def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """log P(token | both sides) at each place."""
+    """log P(token | both sides) at each place.
+
+    The weights are bounded (see fit), so the sums of exponentials can't overflow.
+    """
     out = np.empty(len(place), dtype=np.float64)
-    for lo in range(0, len(place), 65_536):
-        p = place[lo : lo + 65_536]
-        h = hidden(m, np.stack([padded[p + o] for o in OFFSETS]))
+    for lo in range(0, len(place), 32_768):
+        p = place[lo : lo + 32_768]
         t = padded[p]
-        c, w = t % CLUSTERS, t // CLUSTERS
+        cluster = (t % CLUSTERS).astype(np.uint8)
+        order = np.argsort(cluster, kind="stable")  # tokens by cluster: each cluster's rows lie together
+        p, t, cluster = p[order], t[order], cluster[order]
+        h = hidden(m, np.stack([padded[p + o] for o in OFFSETS]))
         z = h @ m["cw"] + m["cb"]
         rows = np.arange(len(p))
-        top = z.max(axis=1)
-        got = z[rows, c] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
-        order = np.argsort(c, kind="stable")
-        ends = np.searchsorted(c[order], np.arange(CLUSTERS + 1))
+        got = z[rows, cluster] - np.log(np.exp(z, out=z.copy()).sum(axis=1))
+        w = t // CLUSTERS
+        ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1))
         for k in range(CLUSTERS):
-            r = order[ends[k] : ends[k + 1]]
-            if len(r):
-                y = h[r] @ m["tw"][k] + m["tb"][k]
-                top = y.max(axis=1)
-                got[r] += y[np.arange(len(r)), w[r]] - top - np.log(np.exp(y - top[:, None]).sum(axis=1))
-        out[lo : lo + 65_536] = got
+            a, b = ends[k], ends[k + 1]
+            if a < b:
+                y = h[a:b] @ m["tw"][k] + m["tb"][k]
+                got[a:b] += y[rows[: b - a], w[a:b]]
+                got[a:b] -= np.log(np.exp(y, out=y).sum(axis=1))
+        out[lo + order] = got
     return out
 
 
@@ -123,7 +133,7 @@ def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarra
     d[np.arange(n), c] -= 1
     grads = {"cw": h.T @ d, "cb": d.sum(axis=0), "tw": np.zeros_like(m["tw"]), "tb": np.zeros_like(m["tb"])}
     dh = d @ m["cw"].T
-    order = np.argsort(c, kind="stable")
+    order = np.argsort(c.astype(np.uint8), kind="stable")
     ends = np.searchsorted(c[order], np.arange(CLUSTERS + 1))
     for k in range(CLUSTERS):
         r = order[ends[k] : ends[k + 1]]
@@ -136,7 +146,7 @@ def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarra
     grads["bias"] = dx.sum(axis=0)
     grads["emb"] = np.zeros_like(m["emb"])
     for o in range(len(OFFSETS)):
-        by = np.argsort(context[o], kind="stable")
+        by = np.argsort(context[o].astype(np.int16), kind="stable")
         ids = context[o][by]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         grads["emb"][o][ids[starts]] = np.add.reduceat(dx[by], starts, axis=0)
@@ -226,6 +236,8 @@ def fit(spark: SparkSession, texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
             break
         flat = np.zeros(SIZE, dtype=np.float32)
         flat[rows["at"].to_numpy()] = np.round(rows["mean"].to_numpy(), 6)
+        for name, part in views(flat).items():
+            np.clip(part, -BOUND[name], BOUND[name], out=part)
     return vocabulary, flat
 
 
