@@ -31,7 +31,7 @@ END_ID = 1
 #: Rests that are packed together in one task.
 GROUP_ROWS = 16_384
 #: Words in each of the two generations of a worker's cache.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _LETTERS = "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == "L")
 _NUMBERS = "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == "N")
