@@ -16,8 +16,8 @@ grows with the corpus, while the driver only ever holds one model.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoreach.llm.runtime import ship
-from isoreach.llm.textcore import CACHE_WORDS, U64, batches, lower_words, mix, raw, signed, word_hashes
+from isoreach.llm.runtime import ship, stash
+from isoreach.llm.textcore import CACHE_WORDS, U64, batches, lower_words, mix, raw, signed
 
 #: Clusters and tokens in each; SHARED slots are for the tokens outside the most frequent ones, by hash.
 CLUSTERS, WIDTH, SHARED = 32, 32, 64
@@ -70,17 +70,32 @@ class Vocabulary(dict):
         return k
 
 
-def encode(texts: list[bytes | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode(texts: list[bytes | None], vocabulary: Vocabulary) -> list[np.ndarray]:
+    return [np.fromiter(map(vocabulary.__getitem__, words := lower_words(t)), dtype=np.int16, count=len(words)) for t in texts]
+
+
+def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids with two pads around each text, places of the tokens in it, tokens of each text)."""
-    words = [lower_words(t) for t in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    ids = np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(words)), dtype=np.int32, count=int(sizes.sum()))
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    ids = np.concatenate(texts) if texts else np.empty(0, dtype=np.int16)
     place = np.arange(len(ids)) + 2 * np.repeat(np.arange(1, len(texts) + 1), sizes)
     padded = np.full(len(ids) + 2 * len(texts) + 2, VOCAB, dtype=np.int32)
     padded[place] = ids
     return padded, place, sizes
 
 
+def _encode(vocabulary: Vocabulary):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it, 256):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in encode(raw(b.column(1)), vocabulary)], pa.binary())], names=["doc_id", "ids"])
+
+    return run
+
+
+def _stored(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype=np.int16) for x in column.to_pylist()]
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
@@ -160,13 +175,13 @@ def _batch(seen: int) -> int:
     return min(MOST, max(LEAST, seen // 16))
 
 
-def _train(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
+def _train(flat: np.ndarray, turn: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = flat.copy()
         m, g2 = views(model), {k: np.full(s, 1e-4, dtype=np.float32) for k, s in _SHAPES.items()}
         seen, wait_c, wait_t, waiting = 0, [], [], 0
         for b in batches(it, 256):
-            padded, place, _ = encode(raw(b.column(0)), vocabulary)
+            padded, place, _ = laid_out(_stored(b.column(0)))
             masked = place[mix(padded[place].astype(U64) * U64(0x9E3779B97F4A7C15) + place.astype(U64) * U64(7919) + U64(turn)) % U64(STRIDE) == 0]
             wait_c.append(np.stack([padded[masked + o] for o in OFFSETS]))
             wait_t.append(padded[masked])
@@ -187,50 +202,43 @@ def _train(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
 
 
 def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token hashes and their counts, summed over a task in pieces."""
-    keys, counts, size = [], [], 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return k, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
+    """Token hashes and their counts; a task's sums go out whenever they hold a million tokens, and the shuffle adds them up."""
+    def out(counts: Counter) -> pa.RecordBatch:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), dtype=U64, count=len(counts))
+        return pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
 
+    counts: Counter = Counter()
     for b in batches(it):
-        words = [x for t in raw(b.column(0)) for x in lower_words(t)]
-        if words:
-            k, n = np.unique(word_hashes(words), return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            size += len(k)
-        if size > 2_000_000:
-            k, n = merged()
-            if len(k) > 1_000_000:  # the sums go out as they stand; the shuffle adds them up
-                yield pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(n)], names=["token", "n"])
-                keys, counts, size = [], [], 0
-            else:
-                keys, counts, size = [k], [n], len(k)
-    if keys:
-        k, n = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(n)], names=["token", "n"])
-
-
-def fit(spark: SparkSession, texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and parameters from a frame of one text column."""
+        for t in raw(b.column(0)):
+            counts.update(lower_words(t))
+        if len(counts) > 1_000_000:
+            yield out(counts)
+            counts = Counter()
+    if counts:
+        yield out(counts)
+
+
+def learn_vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary of a frame of one text column, and the most frequent tokens' counts."""
     tally = texts.mapInArrow(_tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = tally.orderBy(F.desc("n"), "token").limit(VOCAB - SHARED).collect()
-    vocabulary = Vocabulary(np.array([r.token for r in top], dtype=np.int64).view(U64))
+    return Vocabulary(np.array([r.token for r in top], dtype=np.int64).view(U64)), np.array([r.n for r in top], dtype=float)
+
+
+def fit(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """Parameters from a frame of one column of ids, and the counts of the most frequent tokens."""
     rng = np.random.default_rng(SEED)
     flat = (rng.standard_normal(SIZE) * 0.05).astype(np.float32)
     m = views(flat)
     # the output starts from the tokens' frequencies; what is left of the corpus goes to the shared slots
-    total = sum(r.n for r in top)
     freq = np.full(VOCAB, 1.0)
-    freq[: len(top)] = [r.n for r in top]
-    freq[VOCAB - SHARED :] = max(1.0, 0.25 * total / SHARED)
+    freq[: len(counts)] = counts
+    freq[VOCAB - SHARED :] = max(1.0, 0.25 * counts.sum() / SHARED)
     grid = freq.reshape(WIDTH, CLUSTERS).T
     m["cb"][:] = np.log(grid.sum(axis=1) / freq.sum())
     m["tb"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
     for turn in range(ROUNDS):
-        means = texts.mapInArrow(_train(flat, vocabulary, turn), "at int, value double, seen long").groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("mean"))
+        means = encoded.mapInArrow(_train(flat, turn), "at int, value double, seen long").groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("mean"))
         rows = means.toPandas()  # one model
         if not len(rows):
             break
@@ -238,14 +246,14 @@ def fit(spark: SparkSession, texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
         flat[rows["at"].to_numpy()] = np.round(rows["mean"].to_numpy(), 6)
         for name, part in views(flat).items():
             np.clip(part, -BOUND[name], BOUND[name], out=part)
-    return vocabulary, flat
+    return flat
 
 
-def _score(flat: np.ndarray, vocabulary: Vocabulary):
+def _score(flat: np.ndarray):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = views(flat)
         for b in batches(it, 256):
-            padded, place, sizes = encode(raw(b.column(1)), vocabulary)
+            padded, place, sizes = laid_out(_stored(b.column(1)))
             got = log_probs(m, padded, place)
             sums = np.zeros(len(sizes))
             some = sizes > 0
@@ -267,5 +275,7 @@ def pseudo_likelihood(spark: SparkSession, documents: DataFrame, id_col: str = "
     """
     ship(spark)
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    vocabulary, flat = fit(spark, docs.select("text"))
-    return docs.mapInArrow(_score(flat, vocabulary), "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
+    vocabulary, counts = learn_vocabulary(docs.select("text"))
+    encoded = stash(spark, docs.mapInArrow(_encode(vocabulary), "doc_id long, ids binary"), "token-ids")  # split once for all later passes
+    flat = fit(encoded.select("ids"), counts)
+    return encoded.mapInArrow(_score(flat), "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
