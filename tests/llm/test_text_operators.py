@@ -244,9 +244,11 @@ def test_masked_lm_beats_frequencies_on_held_out_text(spark, monkeypatch):
         return (k, " ".join(out), "en", "s", 1)
 
     table = spark.createDataFrame([text(k) for k in range(400)] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0)], SCHEMA)
-    vocabulary, flat = maskedlm.fit(spark, table.where("doc_id < 300").select("text").coalesce(1))
+    train = table.where("doc_id < 300").select("doc_id", "text").coalesce(1)
+    vocabulary, counts = maskedlm.learn_vocabulary(train.select("text"))
+    flat = maskedlm.fit(train.mapInArrow(maskedlm._encode(vocabulary), "doc_id long, ids binary").select("ids"), counts)
     held = [x.text.encode() for x in table.where("doc_id between 300 and 399").collect()]
-    padded, place, sizes = maskedlm.encode(held, vocabulary)
+    padded, place, sizes = maskedlm.laid_out(maskedlm.encode(held, vocabulary))
     got = maskedlm.log_probs(maskedlm.views(flat), padded, place)
     assert got.mean() > -np.log(24) + 0.5  # the words are equally frequent
     out = {x.doc_id: x for x in maskedlm.pseudo_likelihood(spark, table).collect()}
