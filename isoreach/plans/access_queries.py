@@ -421,8 +421,8 @@ def g7(spark, sf):
     return A.weighted_quantile(load(spark, sf, "cells"), "zone_id", "x", "population", 0.9, "cell_id", "q90")
 
 
-AGREE = """count(*) as n, round(avg(p - m), 4) as bias, round(100 * avg(p - m) / avg(m), 4) as bias_pct, round(quantile_cont(p - m, 0.5), 4) as med_resid, round(100 * quantile_cont(p - m, 0.5) / quantile_cont(m, 0.5), 4) as med_resid_pct,
-  round(avg(abs(p - m)), 4) as mae, round(100 * avg(abs(p - m)) / avg(abs(m)), 4) as mae_pct, round(sqrt(avg((p - m) * (p - m))), 4) as rmse, round(covar_pop(m, p) / var_pop(m), 4) as slope, round(1 - avg((p - m) * (p - m)) / var_pop(m), 4) as r2, round(covar_pop(m, p) * covar_pop(m, p) / (var_pop(m) * var_pop(p)), 4) as r2_fit"""
+AGREE = """count(*) as n, round(avg(p - m), 4) as bias, round(100 * avg(p - m) / nullif(avg(m), 0), 4) as bias_pct, round(quantile_cont(p - m, 0.5), 4) as med_resid, round(100 * quantile_cont(p - m, 0.5) / nullif(quantile_cont(m, 0.5), 0), 4) as med_resid_pct,
+  round(avg(abs(p - m)), 4) as mae, round(100 * avg(abs(p - m)) / nullif(avg(abs(m)), 0), 4) as mae_pct, round(sqrt(avg((p - m) * (p - m))), 4) as rmse, round(covar_pop(m, p) / var_pop(m), 4) as slope, round(1 - avg((p - m) * (p - m)) / var_pop(m), 4) as r2, round(covar_pop(m, p) * covar_pop(m, p) / (var_pop(m) * var_pop(p)), 4) as r2_fit"""
 
 
 @query("v1_agreement", ctes("cells") + f", r as (select zone_id, x as m, 0.7 * x + 0.2 * y + 40 as p from cells_) select zone_id, {AGREE} from r group by zone_id having count(*) >= 2")

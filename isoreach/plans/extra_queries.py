@@ -324,7 +324,7 @@ def s12(spark, sf):
     return formats.clip(load(spark, sf, "cells").select("cell_id", "x", "y"), _boxes(spark, sf).join(load(spark, sf, "zones").where("region_id = 0").select("zone_id"), "zone_id", "left_semi").select("ring")).select("cell_id")
 
 
-@query("s25_raster_points", "select 2000.0 + ((l_suppkey % 100) + 0.5) * 30 as x, 9000.0 - ((l_partkey % 100) + 0.5) * 30 as y, l_quantity as value from lineitem where l_quantity > 10 and l_quantity <> 50")
+@query("s25_raster_points", "select (2000.0 + ((l_suppkey % 100) + 0.5) * 30)::double as x, (9000.0 - ((l_partkey % 100) + 0.5) * 30)::double as y, l_quantity as value from lineitem where l_quantity > 10 and l_quantity <> 50")
 def s25(spark, sf):
     px = tab(spark, sf, "lineitem").where("l_quantity > 10").select((F.col("l_suppkey") % 100).alias("col"), (F.col("l_partkey") % 100).alias("row"), F.col("l_quantity").alias("value"))
     return formats.pixels_to_points(px, 2000.0, 9000.0, 30.0, 50.0)

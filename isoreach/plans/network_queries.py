@@ -132,12 +132,12 @@ def s10(spark, sf):
 
 # ---- graphs ----
 
-EDGES = ctes("edges").replace("with edges_", "with e0 as (select o_orderkey as way_id, o_custkey as u, (o_custkey * 7 + o_orderkey) % 1499 as v, round(o_totalprice / 1000, 2) as w, o_orderkey % 8 as rank from orders), edges_")
+EDGES = ctes("edges").replace("with edges_", "with e0 as (select o_orderkey as way_id, o_custkey as u, (o_custkey * 7 + o_orderkey) % 1499 as v, o_totalprice / 1000 as w, o_orderkey % 8 as rank from orders), edges_")
 
 
 def edges(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet")
-    return o.selectExpr("o_orderkey as way_id", "o_custkey as u", "(o_custkey * 7 + o_orderkey) % 1499 as v", "round(o_totalprice / 1000, 2) as w", "o_orderkey % 8 as rank")
+    return o.selectExpr("o_orderkey as way_id", "o_custkey as u", "(o_custkey * 7 + o_orderkey) % 1499 as v", "o_totalprice / 1000 as w", "o_orderkey % 8 as rank")
 
 
 _UND = EDGES + ", und as (select distinct least(u, v) as a, greatest(u, v) as b from e0 where u <> v), nb as (select node_id, count(*) as n from (select a as node_id, b as o from und union all select b, a from und) group by 1)"
@@ -217,18 +217,18 @@ def n2(spark, sf):
 
 @query("r1_relaxation", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0),
   s as (select origin, origin as node, 0.0::double as cost, 0 as hops from o union all select s.origin, e1.v, s.cost + e1.w, s.hops + 1 from s join e1 on e1.u = s.node where s.cost + e1.w <= 60 and s.hops < 12)
-  select origin, node, round(min(cost), 4) as cost from s group by 1, 2""")
+  select origin, node, round(min(cost), 6) as cost from s group by 1, 2""")
 def r1(spark, sf):
     e = edges(spark, sf)
-    return R.relax(spark, e, e.select(F.col("u").alias("origin")).distinct(), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
+    return R.relax(spark, e, e.select(F.col("u").alias("origin")).distinct(), 60.0).select("origin", "node", F.round("cost", 6).alias("cost"))
 
 
 @query("r2_batched_search", EDGES.replace("with ", "with recursive ", 1) + """, e1 as (select u, v, min(w) as w from e0 group by 1, 2), o as (select distinct u as origin from e0),
   s as (select origin, origin as node, 0.0::double as cost, 0 as hops from o union all select s.origin, e1.v, s.cost + e1.w, s.hops + 1 from s join e1 on e1.u = s.node where s.cost + e1.w <= 60 and s.hops < 12)
-  select origin, node, round(min(cost), 4) as cost from s group by 1, 2""")
+  select origin, node, round(min(cost), 6) as cost from s group by 1, 2""")
 def r2(spark, sf):
     e = edges(spark, sf)
-    return R.batched(spark, e, e.select(F.col("u").alias("origin")), 60.0).select("origin", "node", F.round("cost", 4).alias("cost"))
+    return R.batched(spark, e, e.select(F.col("u").alias("origin")), 60.0).select("origin", "node", F.round("cost", 6).alias("cost"))
 
 
 def _trip_paths(spark, sf):
