@@ -8,10 +8,8 @@ the loss of executors, and gives the planner real sizes for the next join.
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import tempfile
-import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -60,14 +58,6 @@ def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nothing refers to any more; else they stay until the driver happens to collect garbage."""
-    for _ in range(3):  # the driver's garbage is found in steps, and Spark's cleaner works beside it
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def release(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete stashed tables that no later step reads."""
     for df in frames:

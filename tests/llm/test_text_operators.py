@@ -116,14 +116,14 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert 0 not in got and 1000 not in got
 
 
-def brute_windows(values, t):
+def brute_windows(values, t, shift=0):
     out = set()
 
     def part(lo, hi):
         if hi - lo + 1 < t:
             return
         c = min(range(lo, hi + 1), key=lambda k: (values[k], k))
-        out.add((lo, c, hi))
+        out.add((lo + shift, c + shift, hi + shift))
         part(lo, c - 1)
         part(c + 1, hi)
 
@@ -138,6 +138,23 @@ def test_compact_windows_are_the_cartesian_tree(seed):
     values = r.integers(0, 1 << 62, n).astype(np.uint64)
     left, c, right = passages.compact_windows(values, t)
     assert set(zip(left.tolist(), c.tolist(), right.tolist(), strict=True)) == brute_windows(values.tolist(), t)
+    ends, want, begin = np.unique(np.append(r.integers(1, n + 1, 4), n)), set(), 0
+    for end in ends.tolist():  # several texts laid end to end
+        want |= brute_windows(values[begin:end].tolist(), t, begin)
+        begin = end
+    left, c, right = passages.compact_windows(values, t, ends)
+    assert set(zip(left.tolist(), c.tolist(), right.tolist(), strict=True)) == want
+
+
+def test_joint_windows_hold_the_minima_of_every_subsequence():
+    r, t = np.random.default_rng(4), 10
+    values = [r.integers(0, 1 << 62, 150).astype(np.uint64) for _ in range(2)]
+    windows = [passages.compact_windows(v, t) for v in values]
+    starts, chosen = passages.joint_windows(windows, t)
+    for i in range(150 - t + 1):
+        k = int(np.searchsorted(starts, i, side="right")) - 1
+        for v, (_, c, _), pick in zip(values, windows, chosen, strict=True):
+            assert c[pick[k]] == i + int(np.argmin(v[i : i + t]))
 
 
 def test_repeated_passages_are_found_and_others_left_alone(spark, docs):
