@@ -4,7 +4,10 @@ Every rule is a regular expression over a text's words, with a label, a priority
 and a keyword that each of its matches holds.  A text without any keyword is
 only counted; for the others the rules whose keyword occurs are matched, all
 places of each.  A detection inside another one of higher priority, or inside a
-longer one of the same, is suppressed.  All of it is Spark expressions.
+longer one of the same, is suppressed; of equal spans of one priority the first
+rule's stands.  All of it is Spark expressions: matching happens within a row,
+and places and suppression are windows over one row for each match, so a text
+costs time in proportion to its matches.
 
 Texts are matched as " w1  w2  ... ", every word between blanks of its own, so
 that neighbouring matches share nothing.
@@ -14,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: ASCII characters that end a word; all others, and those beyond ASCII, belong to words once A-Z is lower-cased.
@@ -95,20 +98,96 @@ CC_LONG = {
     "attribution noncommercial noderivs": "by-nc-nd",
 }
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
-#: Rules that stand by themselves: label, priority, keyword, expression.
+#: Sentences of the licenses' own texts and of the usual notices, written out in words: label, priority, keyword, expression.
 SINGLE = (
     ("cc0", 80, "cc0", "cc0(?: 1 0)?(?: universal)?"),
     ("cc0", 80, "creative", "creative commons zero(?: v?1 0)?(?: universal)?"),
+    ("cc0", 72, "waives", "waives all of his or her rights to the work worldwide under copyright law"),
+    ("cc0", 70, "waiver", "the person who associated a work with this deed has dedicated the work to the public domain"),
     ("public-domain", 60, "domain", "(?:released|dedicated|placed|is|are) (?:in|into|to) the public domain"),
+    ("public-domain", 58, "domain", "(?:hereby )?(?:disclaims?|waives?) (?:all )?copyright (?:interest )?(?:in|to) this (?:software|work|source code)"),
+    ("public-domain", 62, "blessing", "in place of a legal notice here is a blessing"),
     ("mit", 70, "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", 72, "sublicense", "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", 68, "substantial", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", 55, "noninfringement", "warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit-0", 74, "attribution", "mit no attribution(?: license| licence)?"),
+    ("x11", 72, "consortium", "the name of the x consortium shall not be used in advertising"),
     ("isc", 70, "permission", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", 72, "fee", "for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("hpnd", 69, "permission", "permission to use copy modify and distribute this software and its documentation for any purpose"),
     ("bsd", 70, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", 66, "redistributions", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", 66, "redistributions", "redistributions in binary form must reproduce the above copyright notice"),
     ("bsd-3-clause", 70, "endorse", "may be used to endorse or promote products derived from this software"),
+    ("bsd-3-clause", 72, "endorse", "nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", 72, "advertising", "all advertising materials mentioning features or use of this software must display"),
+    ("bsd-2-clause", 64, "freebsd", "those of the authors and should not be interpreted as representing official policies"),
+    ("apache-2", 74, "apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache-2", 76, "apache", "licensed under the apache license version 2 0 the license"),
+    ("apache-2", 64, "conditions", "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-1.1", 74, "apache", "this product includes software developed by the apache software foundation"),
     ("gpl", 70, "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", 60, "merchantability", "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license"),
+    ("gpl", 58, "gnu", "you should have received a copy of the gnu general public license"),
+    ("gpl-2", 78, "gnu", "gnu general public license version 2 june 1991"),
+    ("gpl-3", 78, "gnu", "gnu general public license version 3 29 june 2007"),
+    ("gpl", 56, "freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3", 72, "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works"),
     ("lgpl", 75, "redistribute", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("lgpl", 75, "redistribute", "you can redistribute it and or modify it under the terms of the gnu library general public license"),
+    ("lgpl", 58, "lesser", "you should have received a copy of the gnu lesser general public license"),
+    ("lgpl-2.1", 78, "lesser", "gnu lesser general public license version 2 1 february 1999"),
+    ("lgpl-3", 78, "lesser", "gnu lesser general public license version 3 29 june 2007"),
+    ("agpl", 75, "redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", 58, "affero", "you should have received a copy of the gnu affero general public license"),
+    ("agpl-3", 78, "affero", "gnu affero general public license version 3 19 november 2007"),
+    ("gpl-classpath", 80, "classpath", "as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("mpl-2", 76, "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1.1", 76, "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl-1", 76, "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2", 76, "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("cddl", 74, "development", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("zlib", 70, "implied", "this software is provided as is without any express or implied warranty in no event"),
+    ("zlib", 72, "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", 70, "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("bsl-1", 72, "boost", "distributed under the boost software license version 1 0"),
+    ("bsl-1", 70, "machine", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("unlicense", 72, "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", 70, "compile", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", 72, "want", "do what the fuck you want to public license"),
+    ("wtfpl", 70, "want", "you just do what the fuck you want to"),
+    ("beerware", 72, "beer", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("ofl-1.1", 74, "font", "this font software is licensed under the sil open font license version 1 1"),
+    ("artistic", 66, "artistic", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2", 74, "artistic", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("python-2", 74, "python", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ("openssl", 74, "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("curl", 70, "curl", "curl license"),
+    ("ftl", 70, "freetype", "freetype (?:project )?license"),
+    ("ijg", 70, "jpeg", "this software is based in part on the work of the independent jpeg group"),
+    ("libpng", 70, "libpng", "libpng license(?: version 2)?"),
+    ("vim", 70, "vim", "vim license"),
+    ("ruby", 70, "ruby", "ruby license"),
+    ("json", 74, "evil", "the software shall be used for good not evil"),
+    ("icu", 70, "icu", "icu license(?: icu 1 8 1 and later)?"),
+    ("unicode", 72, "unicode", "unicode(?: inc)? license agreement(?: data files and software)?"),
+    ("w3c", 72, "w3c", "w3c software notice and license"),
+    ("opl", 70, "publication", "open publication license(?: v?1 0)?"),
+    ("fal", 70, "art", "free art license(?: 1 3)?"),
+    ("etalab", 70, "etalab", "(?:licence|license) ouverte(?: open licence)?(?: etalab)?"),
+    ("llama", 72, "llama", "llama (?:2|3|3 1) community license(?: agreement)?"),
+    ("commons-clause", 74, "commons", "commons clause license condition(?: v1 0)?"),
+    ("polyform", 72, "polyform", "polyform (?:noncommercial|small business|strict|shield) license(?: 1 0 0)?"),
+    ("no-derivatives", 50, "derivative", "no derivative works (?:are )?(?:allowed|permitted)"),
+    ("noncommercial", 50, "commercial", "for non ?commercial use only"),
+    ("noncommercial", 48, "commercial", "commercial use is (?:strictly )?(?:prohibited|not permitted|not allowed)"),
+    ("research-only", 52, "research", "for (?:academic|research)(?: and (?:academic|research|educational))? (?:use|purposes) only"),
     ("proprietary", 50, "rights", "all rights reserved"),
     ("proprietary", 55, "proprietary", "proprietary and confidential"),
-    ("zlib", 70, "implied", "this software is provided as is without any express or implied warranty in no event"),
+    ("proprietary", 54, "reproduction", "unauthorized (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? of this (?:file|document|material|software)"),
+    ("proprietary", 53, "trade", "contains (?:confidential )?trade secrets of"),
+    ("proprietary", 53, "eula", "end user license agreement"),
 )
 _LEAD = "(?:licensed|distributed|released|available|provided|published|covered|made available) under (?:the )?(?:terms of (?:the )?)?(?:conditions of (?:the )?)?"
 
@@ -202,44 +281,61 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     # the rules lie under their keywords, so that a text is searched once for each keyword
     under: dict[str, list[str]] = {}
-    for r in rules():
-        under.setdefault(r.keyword, []).append(f"named_struct('label', {_quoted(r.label)}, 'priority', {r.priority}, 'regex', {_quoted(_spaced(r.regex))})")
+    for k, r in enumerate(rules()):
+        under.setdefault(r.keyword, []).append(f"named_struct('rule', {k}, 'label', {_quoted(r.label)}, 'priority', {r.priority}, 'regex', {_quoted(_spaced(r.regex))})")
     table = ", ".join(f"named_struct('keyword', {_quoted(f' {k} ')}, 'rules', array({', '.join(v)}))" for k, v in under.items())
-    before = "aggregate(slice(p, 1, i), 0, (acc, x) -> acc + " + _blanks("x") + ") + aggregate(slice(m, 1, i - 1), 0, (acc, x) -> acc + " + _blanks("x") + ")"
-    places = (
-        "transform(filter(transform(flatten(transform(filter(array(" + table + "), g -> contains(t, g.keyword)), g -> g.rules)), r -> named_struct('r', r, 'm', regexp_extract_all(t, r.regex, 0))), h -> size(h.m) > 0), "
-        "h -> transform(sequence(1, size(h.m)), i -> named_struct('label', h.r.label, 'priority', h.r.priority, 'start', cast(("
-        + before.replace("slice(p,", "slice(split(t, h.r.regex, -1),").replace("slice(m,", "slice(h.m,")
-        + ") / 2 as long), 'words', cast(("
-        + _blanks("element_at(h.m, i)")
-        + ") / 2 as long))))"
-    )
+    matched = "filter(transform(flatten(transform(filter(array(" + table + "), g -> contains(t, g.keyword)), g -> g.rules)), r -> named_struct('r', r, 'm', regexp_extract_all(t, r.regex, 0))), h -> size(h.m) > 0)"
+    gaps = f"transform({matched}, h -> named_struct('r', h.r, 'm', h.m, 'p', split(t, h.r.regex, -1)))"  # what lies before each match
+    widths = f"named_struct('gap', {_blanks('h.p[i]')}, 'words', {_blanks('x')})"
+    hits = f"transform({gaps}, h -> named_struct('rule', h.r.rule, 'label', h.r.label, 'priority', h.r.priority, 'places', transform(h.m, (x, i) -> {widths})))"
     base = _quoted(_base_regex())
+    names = "map(" + ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in BASE.items()) + ")"
     found = spaced.select(
         "doc_id",
         "n_words",
-        F.expr(f"case when t is not null then flatten({places}) end").alias("all"),
+        F.expr(f"case when t is not null then {hits} end").alias("hits"),
         F.expr(f"case when t is not null then regexp_extract_all(t, {base}, 0) end").alias("b"),
         F.expr(f"case when t is not null then split(t, {base}, -1) end").alias("parts"),
     )
-    inside = "y.start <= x.start and y.start + y.words >= x.start + x.words and (y.priority > x.priority or (y.priority = x.priority and y.words > x.words))"
-    kept = found.select("doc_id", "n_words", "b", "parts", F.expr(f"coalesce(filter(all, x -> not exists(all, y -> {inside})), array())").alias("detections"))
-    names = "map(" + ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in BASE.items()) + ")"
-    labels = F.expr(f"coalesce(transform(b, x -> element_at({names}, replace(trim(x), '  ', ' '))), array())")
     some = F.coalesce(F.size("b"), F.lit(0)) > 0
-    return kept.select(
+    rows = found.select(
+        F.monotonically_increasing_id().alias("uid"),
         "doc_id",
         "n_words",
         F.when(some, F.size("b")).otherwise(0).cast("long").alias("n_base"),
         F.when(some, F.expr(f"({_blanks('parts[0]')}) / 2").cast("long")).alias("first_word"),
         F.when(some, F.col("n_words") - F.expr(f"({_blanks('element_at(parts, -1)')} + {_blanks('element_at(b, -1)')}) / 2").cast("long")).alias("last_word"),
-        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(F.concat(labels, F.expr("transform(detections, x -> x.label)")))), ",").alias("labels"),
+        F.array_distinct(F.expr(f"coalesce(transform(b, x -> element_at({names}, replace(trim(x), '  ', ' '))), array())")).alias("base"),
+        "hits",
+    )
+    # one row for each match from here on: places are running sums, and a match is held against those that start shortly before it
+    own = ["uid", "doc_id", "n_words", "n_base", "first_word", "last_word", "base"]
+    rows = rows.select(*own, F.explode_outer("hits").alias("h"))
+    rows = rows.select(*own, F.col("h.rule").alias("rule"), F.col("h.label").alias("label"), F.col("h.priority").alias("priority"), F.posexplode_outer("h.places").alias("pos", "x")).repartition("uid")
+    so_far = Window.partitionBy("uid", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blanks = F.sum(F.col("x.gap") + F.col("x.words")).over(so_far)
+    placed = rows.select(*own, "rule", "label", "priority", ((blanks - F.col("x.words")) / 2).cast("long").alias("start"), (F.col("x.words") / 2).cast("long").alias("words"))
+    ends = F.col("start") + F.col("words")
+    near = Window.partitionBy("uid").orderBy("start").rangeBetween(-longest(), 0)
+    around = F.collect_list(F.struct("rule", "priority", "start", "words")).over(near)
+    inside = "y.start <= start and y.start + y.words >= start + words and (y.priority > priority or (y.priority = priority and (y.words > words or (y.words = words and y.rule < rule))))"
+    judged = placed.withColumn("around", F.when(ends.isNotNull(), around)).withColumn("stands", F.expr(f"start is not null and not exists(around, y -> {inside})"))
+    detection = F.struct("start", "words", "priority", "label")
+    texts = judged.groupBy("uid").agg(*(F.first(c).alias(c) for c in own[1:]), F.array_sort(F.collect_list(F.when(F.col("stands"), detection))).alias("detections"))
+    return texts.select(
+        *own[1:6],
+        F.array_join(F.array_sort("base"), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat("base", F.expr("transform(detections, x -> x.label)")))), ",").alias("labels"),
         F.coalesce(F.expr("array_max(transform(detections, x -> x.priority)) / 100.0D"), F.lit(0.0)).alias("score"),
         "detections",
     )
 
 
+def longest() -> int:
+    """A bound on the words of any match: no rule repeats anything, so it has a blank in its expression for each."""
+    return max(r.regex.count(" ") for r in rules()) + 1
+
+
 def sql() -> str:
     """DuckDB SQL for the scan of documents, without detections: every rule on every text, no gates."""
     q = lambda x: "'" + x.replace("'", "''") + "'"
@@ -252,12 +348,13 @@ def sql() -> str:
     n as (select row_id, doc_id, len(words)::bigint as n_words, ' ' || array_to_string(words, '  ') || ' ' as t from d),
     rules(rule, label, priority, re) as (values {values}),
     hits as (select row_id, rule, label, priority, regexp_extract_all(t, re) as m, string_split_regex(t, re) as p from n cross join rules where regexp_matches(t, re)),
-    placed as (select row_id, label, priority, m, p, unnest(range(1, len(m) + 1)) as i from hits),
+    placed as (select row_id, rule, label, priority, m, p, unnest(range(1, len(m) + 1)) as i from hits),
     spans as (
-      select row_id, label, priority, {_blanks("(array_to_string(p[1:i], '') || array_to_string(m[1:i - 1], ''))")} as s, {_blanks('m[i]')} as w from placed),
+      select row_id, rule, label, priority, {_blanks("(array_to_string(p[1:i], '') || array_to_string(m[1:i - 1], ''))")} as s, {_blanks('m[i]')} as w from placed),
     stand as (
       select * from spans x where not exists (
-        select 1 from spans y where y.row_id = x.row_id and y.s <= x.s and y.s + y.w >= x.s + x.w and (y.priority > x.priority or (y.priority = x.priority and y.w > x.w)))),
+        select 1 from spans y where y.row_id = x.row_id and y.s <= x.s and y.s + y.w >= x.s + x.w
+          and (y.priority > x.priority or (y.priority = x.priority and (y.w > x.w or (y.w = x.w and y.rule < x.rule)))))),
     own as (select row_id, list(distinct label) as labels, max(priority) / 100.0::double as score from stand group by row_id),
     b as (select row_id, regexp_extract_all(t, {base}) as m, string_split_regex(t, {base}) as p from n),
     bl as (select row_id, list_distinct(list_transform(m, lambda x: case replace(trim(x), '  ', ' ') {phrases} end)) as labels from b)
