@@ -2,9 +2,9 @@
 
 Two generative models over hashed n-gram buckets are counted: one of target
 text (documents labelled good, a bounded sample), one of all raw text.  A
-document's log weight is the mean over its n-grams of the log ratio of the two,
-for a text of LENGTH n-grams, so that long texts don't outweigh short ones.
-Documents are then drawn without replacement with odds in proportion to their
+document's log weight is the log ratio of its probabilities under the two, the
+sum over its n-grams.  A token that repeats the one before it is read as a mark
+of repetition, so that repeats of any word are one n-gram.  Documents are then drawn without replacement with odds in proportion to their
 weights, by the Gumbel top-k trick: each log weight gets seeded Gumbel noise and
 the k largest sums are taken.  k is the number of documents beyond the log weight
 that best separates bounded samples of good documents that the target model
@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 from isoreach.llm.runtime import release, ship, stash
 from isoreach.llm.textcore import U64, batches, mix, raw, word_hashes
 
-BUCKETS = 1 << 12
+BUCKETS = 1 << 14
 #: Labelled good documents that the target model is counted on, and of either label that k is set by, those of the smallest id hashes.
 TARGET_ROWS = 20_000
 SEED = 29
-LENGTH = 100
+#: Log weight of a text without n-grams, which the target model never writes.
+NOTHING = -1e6
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
-#: Bucket of a word that is its own successor, whichever word it is.
-_TWICE = 0
+#: Hash of the mark of repetition.
+_AGAIN = U64(0x5851F42D4C957F2D)
 
 
 def ngrams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,9 +44,9 @@ def ngrams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         if not t:
             continue
         h = word_hashes(t)
-        one = (h >> U64(11)) % U64(BUCKETS - 1) + U64(1)
-        two = mix(h[:-1] * U64(0x9E3779B97F4A7C15) + h[1:]) % U64(BUCKETS - 1) + U64(1)
-        two[h[:-1] == h[1:]] = _TWICE
+        h[1:][h[1:] == h[:-1]] = _AGAIN
+        one = mix(h) % U64(BUCKETS)
+        two = mix(h[:-1] * U64(0x9E3779B97F4A7C15) + h[1:]) % U64(BUCKETS)
         out += [one, two]
     return (np.concatenate(out).astype(np.int64) if out else np.empty(0, dtype=np.int64)), counts
 
@@ -77,11 +78,11 @@ def gumbel(ids: list[int | None], seed: int) -> np.ndarray:
 
 
 def weigh(ids: list[int | None], texts: list[bytes | None], ratio: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-grams, log weight, log weight plus noise) of each text; a text without n-grams weighs -LENGTH."""
+    """(n-grams, log weight, log weight plus noise) of each text; a text without n-grams has NOTHING."""
     grams, counts = ngrams(texts)
-    weight, some = np.full(len(counts), -float(LENGTH)), counts > 0
+    weight, some = np.full(len(counts), NOTHING), counts > 0
     if some.any():  # each text is summed by itself, so its weight doesn't depend on its batch
-        weight[some] = np.round(LENGTH * np.add.reduceat(ratio[grams], (np.cumsum(counts) - counts)[some]) / counts[some], 6)
+        weight[some] = np.round(np.add.reduceat(ratio[grams], (np.cumsum(counts) - counts)[some]), 6)
     return counts, weight, weight + gumbel(ids, seed)
 
 
@@ -158,7 +159,7 @@ def resample(spark: SparkSession, documents: DataFrame, labels: DataFrame, id_co
 
     labels has doc_id and quality (1: good).  Returns a row per input row:
     doc_id, n_ngrams, log_weight, sample_key (with noise), kept.  A null or empty
-    text has log weight -LENGTH.  Equal ids have equal noise and equal keys stand
+    text has log weight NOTHING and is never drawn before others.  Equal ids have equal noise and equal keys stand
     or fall together.  Without labels of both kinds everything is kept; without
     documents the result is empty.
     """
