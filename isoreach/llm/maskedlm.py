@@ -1,16 +1,19 @@
 """LM scoring by masked pseudo-likelihood.
 
 A small network predicts a masked token from the tokens on both of its sides:
-each neighbour's embedding, one table for each offset, is summed into a hidden
-layer; a two-level softmax then gives a cluster and a token of the cluster.  A
-document's score is the sum over all its tokens of the log-probability of the
-token given both sides.
-
-The vocabulary and its frequencies are counted over the whole corpus.  Training
-visits every document: each task walks its own documents with minibatch
-gradient steps on one masked position in STRIDE, drawn by a seeded hash, and
-hands back its parameters; these are averaged by parameter, weighted with the
-positions seen, and the next round starts from the mean.  What is gathered thus
+embeddings of the nearest neighbours, one table for each offset, and of those
+further off, one table for all, are summed into a hidden layer; a two-level
+softmax then gives a cluster and a token of the cluster.  A document's score is
+the sum over all its tokens of the log-probability of the token given both sides.
+
+The vocabulary and its frequencies are counted over the whole corpus.  The rest
+of the tokens share slots by their endings.  Documents are dealt to shards by a
+hash, and lie in a shard in the order of the hash, so what a shard's training
+sees doesn't depend on how the input is partitioned.  Training visits every
+position once: in each round every shard walks its documents with minibatch
+gradient steps, from the round's model on, with the positions whose turn it is;
+the shards' models are averaged, weighted with the positions seen, in two
+levels of sums over binary slices of the parameters.  What is gathered thus
 grows with the corpus, while the driver only ever holds one model.
 """
 
@@ -25,21 +28,28 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoreach.llm.runtime import ship, stash
+from isoreach.llm.runtime import release, ship, stash
 from isoreach.llm.textcore import CACHE_WORDS, U64, batches, lower_words, mix, raw, signed
 
-#: Clusters and tokens in each; SHARED slots are for the tokens outside the most frequent ones, by hash.
-CLUSTERS, WIDTH, SHARED = 32, 32, 64
+#: Clusters and tokens in each; SHARED slots are for the tokens outside the most frequent ones.
+CLUSTERS, WIDTH, SHARED = 64, 128, 512
 VOCAB = CLUSTERS * WIDTH
-OFFSETS = (-2, -1, 1, 2)
+#: Places of the context, and the table of each.
+OFFSETS = (-2, -1, 1, 2, -6, -5, -4, -3, 3, 4, 5, 6)
+TABLE = (0, 1, 2, 3, 4, 4, 4, 4, 4, 4, 4, 4)
+REACH = max(OFFSETS)
 HIDDEN = 16
-#: One position in STRIDE is masked; minibatches grow from LEAST to MOST as a task has seen more.
-STRIDE, ROUNDS, LEAST, MOST, RATE = 8, 2, 128, 2048, 0.08
+#: Every position is a target in one of the rounds; minibatches grow from LEAST to MOST as a shard has seen more.
+ROUNDS, LEAST, MOST, RATE = 2, 128, 4096, 0.08
 SEED = 41
+#: Tokens of a shard, about.  Its file is one Parquet row group, so one task reads it as a whole.
+SHARD = 1_000_000
+#: Parameters in a slice, and the sums of the first level.
+SLICE, SUMS = 1 << 14, 8
 #: Largest weights: a sum of 16 weights and a bias stays below 85, which exp() can take.
 BOUND = {"emb": 20.0, "bias": 20.0, "cw": 4.0, "cb": 20.0, "tw": 4.0, "tb": 20.0}
 
-_SHAPES = {"emb": (len(OFFSETS), VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN, CLUSTERS), "cb": (CLUSTERS,), "tw": (CLUSTERS, HIDDEN, WIDTH), "tb": (CLUSTERS, WIDTH)}
+_SHAPES = {"emb": (max(TABLE) + 1, VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN, CLUSTERS), "cb": (CLUSTERS,), "tw": (CLUSTERS, HIDDEN, WIDTH), "tb": (CLUSTERS, WIDTH)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
 
 
@@ -53,7 +63,7 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 
 class Vocabulary(dict):
-    """Tokens -> ids; ids below VOCAB - SHARED are the most frequent tokens, the others are shared by hash.  Tokens seen are kept."""
+    """Tokens -> ids; ids below VOCAB - SHARED are the most frequent tokens, the others are shared by their last three bytes.  Tokens seen are kept."""
 
     def __init__(self, hashes: np.ndarray) -> None:
         super().__init__()
@@ -66,7 +76,8 @@ class Vocabulary(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         h = xxhash.xxh3_64_intdigest(token)
-        self[token] = k = self.rank.get(h, VOCAB - SHARED + (h >> 20) % SHARED)
+        k = self.rank.get(h)
+        self[token] = k = VOCAB - SHARED + xxhash.xxh3_64_intdigest(token[-3:]) % SHARED if k is None else k
         return k
 
 
@@ -75,23 +86,32 @@ def encode(texts: list[bytes | None], vocabulary: Vocabulary) -> list[np.ndarray
 
 
 def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids with two pads around each text, places of the tokens in it, tokens of each text)."""
+    """(ids with REACH pads around each text, places of the tokens in it, tokens of each text)."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     ids = np.concatenate(texts) if texts else np.empty(0, dtype=np.int16)
-    place = np.arange(len(ids)) + 2 * np.repeat(np.arange(1, len(texts) + 1), sizes)
-    padded = np.full(len(ids) + 2 * len(texts) + 2, VOCAB, dtype=np.int32)
+    place = np.arange(len(ids)) + REACH * np.repeat(np.arange(1, len(texts) + 1), sizes)
+    padded = np.full(len(ids) + REACH * (len(texts) + 1), VOCAB, dtype=np.int32)
     padded[place] = ids
     return padded, place, sizes
 
 
-def _encode(vocabulary: Vocabulary):
+def _encode(vocabulary: Vocabulary, shards: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 256):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in encode(raw(b.column(1)), vocabulary)], pa.binary())], names=["doc_id", "ids"])
+            ids = [x.tobytes() for x in encode(raw(b.column(1)), vocabulary)]
+            dealt = [xxhash.xxh3_64_intdigest(x, seed=(-1 if doc is None else doc) & 0xFFFFFFFFFFFFFFFF) for doc, x in zip(b.column(0).to_pylist(), ids, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([h % shards for h in dealt], pa.int32()), pa.array([h >> 1 for h in dealt], pa.int64())], names=["doc_id", "ids", "shard", "dealt"])
 
     return run
 
 
+def encoded(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, tokens: int) -> DataFrame:
+    """Stored doc_id, ids, shard, with the rows of a shard together and in an order of their own; split once for all later passes."""
+    shards = max(1, -(-tokens // SHARD))
+    rows = docs.mapInArrow(_encode(vocabulary, shards), "doc_id long, ids binary, shard int, dealt long")
+    return stash(spark, rows.repartition(shards, "shard").sortWithinPartitions("shard", "dealt").select("doc_id", "ids", "shard"), "token-ids")
+
+
 def _stored(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=np.int16) for x in column.to_pylist()]
 
@@ -104,9 +124,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def hidden(m: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    x = m["emb"][0].take(context[0], axis=0)
-    for o in range(1, len(OFFSETS)):
-        x += m["emb"][o].take(context[o], axis=0)
+    x = m["emb"][TABLE[0]].take(context[0], axis=0)
+    for k in range(1, len(OFFSETS)):
+        x += m["emb"][TABLE[k]].take(context[k], axis=0)
     x += m["bias"]
     return np.tanh(x, out=x)
 
@@ -139,68 +159,126 @@ def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -
     return out
 
 
+def _descend(w: np.ndarray, g2: np.ndarray, g: np.ndarray, at=slice(None)) -> None:
+    """An AdaGrad step on the rows at of w."""
+    g2[at] += g * g
+    w[at] -= RATE * g / (np.sqrt(g2[at]) + 1e-6)
+
+
 def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
-    """One AdaGrad step on a minibatch."""
-    n = len(target)
+    """One step on a minibatch; only the rows that it touches are changed."""
+    n = np.float32(len(target))
     h = hidden(m, context)
     c, w = target % CLUSTERS, target // CLUSTERS
+    rows = np.arange(len(target))
     d = _softmax(h @ m["cw"] + m["cb"])
-    d[np.arange(n), c] -= 1
-    grads = {"cw": h.T @ d, "cb": d.sum(axis=0), "tw": np.zeros_like(m["tw"]), "tb": np.zeros_like(m["tb"])}
+    d[rows, c] -= 1
     dh = d @ m["cw"].T
+    _descend(m["cw"], g2["cw"], h.T @ d / n)
+    _descend(m["cb"], g2["cb"], d.sum(axis=0) / n)
     order = np.argsort(c.astype(np.uint8), kind="stable")
     ends = np.searchsorted(c[order], np.arange(CLUSTERS + 1))
+    hs, ws, back = h[order], w[order], np.empty_like(h)
     for k in range(CLUSTERS):
-        r = order[ends[k] : ends[k + 1]]
-        if len(r):
-            d = _softmax(h[r] @ m["tw"][k] + m["tb"][k])
-            d[np.arange(len(r)), w[r]] -= 1
-            grads["tw"][k], grads["tb"][k] = h[r].T @ d, d.sum(axis=0)
-            dh[r] += d @ m["tw"][k].T
+        lo, hi = ends[k], ends[k + 1]
+        if lo < hi:
+            d = _softmax(hs[lo:hi] @ m["tw"][k] + m["tb"][k])
+            d[rows[: hi - lo], ws[lo:hi]] -= 1
+            back[lo:hi] = d @ m["tw"][k].T
+            _descend(m["tw"], g2["tw"], hs[lo:hi].T @ d / n, k)
+            _descend(m["tb"], g2["tb"], d.sum(axis=0) / n, k)
+    dh[order] += back
     dx = dh * (1 - h * h)
-    grads["bias"] = dx.sum(axis=0)
-    grads["emb"] = np.zeros_like(m["emb"])
-    for o in range(len(OFFSETS)):
-        by = np.argsort(context[o].astype(np.int16), kind="stable")
-        ids = context[o][by]
+    dx /= n
+    _descend(m["bias"], g2["bias"], dx.sum(axis=0))
+    for table in range(max(TABLE) + 1):
+        own = [k for k in range(len(OFFSETS)) if TABLE[k] == table]
+        ids = context[own].reshape(-1)
+        by = np.argsort(ids.astype(np.int16), kind="stable")
+        ids = ids[by]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        grads["emb"][o][ids[starts]] = np.add.reduceat(dx[by], starts, axis=0)
-    for name, g in grads.items():
-        g /= n
-        g2[name] += g * g
-        m[name] -= RATE * g / (np.sqrt(g2[name]) + 1e-6)
+        _descend(m["emb"][table], g2["emb"][table], np.add.reduceat(dx[by % len(target)], starts, axis=0), ids[starts])
 
 
 def _batch(seen: int) -> int:
     return min(MOST, max(LEAST, seen // 16))
 
 
+class Trainer:
+    """A shard's walk from the round's model on."""
+
+    def __init__(self, flat: np.ndarray, turn: int) -> None:
+        self.model, self.turn, self.seen = flat.copy(), turn, 0
+        self.m, self.g2 = views(self.model), {k: np.full(s, 1e-4, dtype=np.float32) for k, s in _SHAPES.items()}
+        self.context, self.target, self.waiting = [], [], 0
+
+    def feed(self, texts: list[np.ndarray], last: bool = False) -> None:
+        padded, place, sizes = laid_out(texts)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        turns = mix(padded[place].astype(U64) * U64(0x9E3779B97F4A7C15) + within.astype(U64) * U64(7919)) % U64(ROUNDS)
+        masked = place[turns == U64(self.turn % ROUNDS)]
+        self.context.append(np.stack([padded[masked + o] for o in OFFSETS]))
+        self.target.append(padded[masked])
+        self.waiting += len(masked)
+        if self.waiting and (last or self.waiting >= _batch(self.seen)):
+            context, target, lo = np.concatenate(self.context, axis=1), np.concatenate(self.target), 0
+            while len(target) - lo >= (size := _batch(self.seen)) or (last and lo < len(target)):
+                step(self.m, self.g2, context[:, lo : lo + size], target[lo : lo + size])
+                self.seen += len(target[lo : lo + size])
+                lo += size
+            self.context, self.target, self.waiting = [context[:, lo:]], [target[lo:]], max(0, len(target) - lo)
+
+
 def _train(flat: np.ndarray, turn: int):
+    """Rows of (shard, ids) that lie shard by shard -> the weighted sum of their models, in slices."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = flat.copy()
-        m, g2 = views(model), {k: np.full(s, 1e-4, dtype=np.float32) for k, s in _SHAPES.items()}
-        seen, wait_c, wait_t, waiting = 0, [], [], 0
+        total, seen, now, held = np.zeros(SIZE), 0, None, []
+        trainer = Trainer(flat, turn)
+
+        def close() -> None:
+            nonlocal seen, trainer
+            trainer.feed(held, last=True)
+            total[:] += trainer.model * float(trainer.seen)
+            seen += trainer.seen
+            trainer = Trainer(flat, turn)
+            held.clear()
+
+        waiting = 0
         for b in batches(it, 256):
-            padded, place, _ = laid_out(_stored(b.column(0)))
-            masked = place[mix(padded[place].astype(U64) * U64(0x9E3779B97F4A7C15) + place.astype(U64) * U64(7919) + U64(turn)) % U64(STRIDE) == 0]
-            wait_c.append(np.stack([padded[masked + o] for o in OFFSETS]))
-            wait_t.append(padded[masked])
-            waiting += len(masked)
-            if waiting >= _batch(seen):
-                context, target, lo = np.concatenate(wait_c, axis=1), np.concatenate(wait_t), 0
-                while len(target) - lo >= (size := _batch(seen)):
-                    step(m, g2, context[:, lo : lo + size], target[lo : lo + size])
-                    lo, seen = lo + size, seen + size
-                wait_c, wait_t, waiting = [context[:, lo:]], [target[lo:]], len(target) - lo
-        if waiting:
-            step(m, g2, np.concatenate(wait_c, axis=1), np.concatenate(wait_t))
-            seen += waiting
+            for shard, ids in zip(b.column(0).to_pylist(), _stored(b.column(1)), strict=True):
+                if now is not None and shard != now:
+                    close()
+                    waiting = 0
+                now = shard
+                held.append(ids)
+                waiting += len(ids)
+                if waiting >= 65_536:
+                    trainer.feed(held)
+                    held.clear()
+                    waiting = 0
+        if now is not None:
+            close()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SIZE, dtype=np.int32)), pa.array(model.astype(np.float64) * seen), pa.array(np.full(SIZE, seen, dtype=np.int64))], names=["at", "value", "seen"])
+            slices = [(total[lo : lo + SLICE] / seen).astype(np.float32).tobytes() for lo in range(0, SIZE, SLICE)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices), dtype=np.int32)), pa.array([now % SUMS] * len(slices), pa.int32()), pa.array(slices, pa.binary()), pa.array([seen] * len(slices), pa.int64())], names=["slice", "part", "mean", "seen"])
 
     return run
 
 
+def _averaged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted means of the slices that meet here, one for each slice; a slice at a time is added up."""
+    sums: dict[int, tuple[np.ndarray, int]] = {}
+    for b in it:
+        for k, mean, seen in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            x, n = sums.get(k, (0.0, 0))
+            sums[k] = (x + np.frombuffer(mean, dtype=np.float32).astype(np.float64) * seen, n + seen)
+    if sums:
+        keys = sorted(sums)
+        means = [(sums[k][0] / sums[k][1]).astype(np.float32).tobytes() for k in keys]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([0] * len(keys), pa.int32()), pa.array(means, pa.binary()), pa.array([sums[k][1] for k in keys], pa.int64())], names=["slice", "part", "mean", "seen"])
+
+
 def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token hashes and their counts; a task's sums go out whenever they hold a million tokens, and the shuffle adds them up."""
     def out(counts: Counter) -> pa.RecordBatch:
@@ -218,32 +296,39 @@ def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(counts)
 
 
-def learn_vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary of a frame of one text column, and the most frequent tokens' counts."""
+def learn_vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray, int]:
+    """The vocabulary of a frame of one text column, the most frequent tokens' counts, and the number of all tokens."""
     tally = texts.mapInArrow(_tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    tally = stash(texts.sparkSession, tally, "tally")
     top = tally.orderBy(F.desc("n"), "token").limit(VOCAB - SHARED).collect()
-    return Vocabulary(np.array([r.token for r in top], dtype=np.int64).view(U64)), np.array([r.n for r in top], dtype=float)
+    total = tally.agg(F.sum("n")).first()[0] or 0
+    release(texts.sparkSession, tally)
+    return Vocabulary(np.array([r.token for r in top], dtype=np.int64).view(U64)), np.array([r.n for r in top], dtype=float), total
 
 
-def fit(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
-    """Parameters from a frame of one column of ids, and the counts of the most frequent tokens."""
+def initial(counts: np.ndarray, total: int) -> np.ndarray:
+    """Parameters whose output is the tokens' frequencies; what the shared slots have of the corpus is dealt among them."""
     rng = np.random.default_rng(SEED)
     flat = (rng.standard_normal(SIZE) * 0.05).astype(np.float32)
     m = views(flat)
-    # the output starts from the tokens' frequencies; what is left of the corpus goes to the shared slots
     freq = np.full(VOCAB, 1.0)
     freq[: len(counts)] = counts
-    freq[VOCAB - SHARED :] = max(1.0, 0.25 * counts.sum() / SHARED)
+    freq[VOCAB - SHARED :] = max(1.0, (total - counts.sum()) / SHARED)
     grid = freq.reshape(WIDTH, CLUSTERS).T
     m["cb"][:] = np.log(grid.sum(axis=1) / freq.sum())
     m["tb"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
+    return flat
+
+
+def fit(stored: DataFrame, counts: np.ndarray, total: int) -> np.ndarray:
+    """Parameters from a frame of (shard, ids) that lies shard by shard."""
+    flat, kind = initial(counts, total), "slice int, part int, mean binary, seen long"
     for turn in range(ROUNDS):
-        means = encoded.mapInArrow(_train(flat, turn), "at int, value double, seen long").groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("mean"))
-        rows = means.toPandas()  # one model
-        if not len(rows):
+        found = stored.mapInArrow(_train(flat, turn), kind).repartition("slice", "part").mapInArrow(_averaged, kind).repartition("slice").mapInArrow(_averaged, kind)
+        rows = {r.slice: r.mean for r in found.select("slice", "mean").collect()}  # one model
+        if not rows:
             break
-        flat = np.zeros(SIZE, dtype=np.float32)
-        flat[rows["at"].to_numpy()] = np.round(rows["mean"].to_numpy(), 6)
+        flat = np.round(np.concatenate([np.frombuffer(rows[k], dtype=np.float32) for k in sorted(rows)]), 5)
         for name, part in views(flat).items():
             np.clip(part, -BOUND[name], BOUND[name], out=part)
     return flat
@@ -272,10 +357,11 @@ def pseudo_likelihood(spark: SparkSession, documents: DataFrame, id_col: str = "
     all tokens), mean_log_prob (null without tokens).  Tokens are runs without
     white space, A-Z lower-cased.  A null or empty text has no tokens and a sum
     of 0; repeated rows are scored alike; an empty table gives an empty result.
+    The partitions of the input change the sums by rounding only.
     """
     ship(spark)
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    vocabulary, counts = learn_vocabulary(docs.select("text"))
-    encoded = stash(spark, docs.mapInArrow(_encode(vocabulary), "doc_id long, ids binary"), "token-ids")  # split once for all later passes
-    flat = fit(encoded.select("ids"), counts)
-    return encoded.mapInArrow(_score(flat), "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
+    vocabulary, counts, total = learn_vocabulary(docs.select("text"))
+    stored = encoded(spark, docs, vocabulary, total)
+    flat = fit(stored.select("shard", "ids"), counts, total)
+    return stored.select("doc_id", "ids").mapInArrow(_score(flat), "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
