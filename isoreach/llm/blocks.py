@@ -45,6 +45,34 @@ def groups(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int],
         yield last, pa.concat_tables(held)
 
 
+def runs(it: Iterator[pa.RecordBatch], rows: int = 65_536) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of one (bucket, gi, gj), the first three columns, from rows sorted by them, and the runs' bounds.
+
+    Runs are gathered until a table has about the rows; none is cut.
+    """
+    held: list[pa.RecordBatch] = []
+    waiting = 0
+
+    def out(t: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        g = [t.column(k).to_numpy() for k in range(3)]
+        change = np.flatnonzero((g[0][1:] != g[0][:-1]) | (g[1][1:] != g[1][:-1]) | (g[2][1:] != g[2][:-1])) + 1
+        return t, np.concatenate([[0], change, [len(t)]])
+
+    for b in it:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        waiting += b.num_rows
+        if waiting >= rows:
+            t, bounds = out(pa.Table.from_batches(held).combine_chunks())
+            cut = int(bounds[-2])  # the last run may go on
+            if cut:
+                yield t.slice(0, cut).combine_chunks(), bounds[:-1]
+            held, waiting = t.slice(cut).combine_chunks().to_batches(), 0
+    if held:
+        yield out(pa.Table.from_batches(held).combine_chunks())
+
+
 def forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links between rows -> (id, smallest id of its component here) for the rows that aren't the smallest."""
     label = ids.copy()
