@@ -118,10 +118,14 @@ def interval_em(rows: DataFrame, lo: str, hi: str, features: list[str], rounds:
             fit = reduce(lambda p, q: p + q, [F.lit(float(c)) * x for c, x in zip(beta, xs, strict=True)])
             za, zb = (a - fit) / sigma, (b - fit) / sigma
             mass = F.greatest(cdf(zb) - cdf(za), F.lit(1e-12))
-            mean = F.greatest(a, F.least(b, fit + sigma * (pdf(za) - pdf(zb)) / mass))
+            shift = (pdf(za) - pdf(zb)) / mass
+            mean = F.greatest(a, F.least(b, fit + sigma * shift))
+            # what a value varies by within its interval counts in the spread, as it would with draws
+            within = F.greatest(F.lit(0.0), F.least((b - a) * (b - a) / 4, sigma * sigma * (1 + (za * pdf(za) - zb * pdf(zb)) / mass - shift * shift)))
             g, m, yy, *_ = _normal(rows, xs, mean, F.lit(1.0))
+            spread = rows.agg(F.sum(within)).first()[0] or 0.0
             beta = np.linalg.lstsq(g, m, rcond=None)[0]
-            sigma = math.sqrt(max(1e-9, (yy - beta @ m) / max(1, n - len(beta))))
+            sigma = math.sqrt(max(1e-9, (yy - beta @ m + spread) / max(1, n)))
             if k >= burn_in:
                 kept.append(beta)
     finally:
@@ -191,3 +195,101 @@ def multinomial_logit(rows: DataFrame, choice: str, alternatives: dict[str, dict
         rows.unpersist()
     out = dict(zip(names, beta.tolist(), strict=True)) | {f"{k}_se": float(s) for k, s in zip(names, se, strict=True)}
     return out | {"ll": ll, "ll_null": null, "rho2_bar": 1 - (ll - p) / null if null else math.nan, "n": n}
+
+
+def bounded_ols(rows: DataFrame, y: str, features: list[str], lower: dict[str, float] | None = None, upper: dict[str, float] | None = None, weight: str | None = None) -> dict[str, float]:
+    """Least squares with bounds on coefficients: const, coefficients, r2, n.
+
+    One pass brings the moments; the small problem is solved exactly by coordinate
+    steps, each the best value of one coefficient within its bounds, to a fixpoint.
+    """
+    rows = complete(rows, [y, *features, *([weight] if weight else [])])
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    g, m, yy, sy, sw, n = _normal(rows, _design(features), F.col(y).cast("double"), w)
+    names = ["const", *features]
+    low = np.array([(lower or {}).get(k, -math.inf) for k in names])
+    high = np.array([(upper or {}).get(k, math.inf) for k in names])
+    beta = np.clip(np.linalg.lstsq(g, m, rcond=None)[0], low, high)
+    for _ in range(100_000):
+        moved = 0.0
+        for i in range(len(names)):
+            if g[i, i] > 0:
+                best = float(np.clip(beta[i] + (m[i] - g[i] @ beta) / g[i, i], low[i], high[i]))
+                moved, beta[i] = max(moved, abs(best - beta[i])), best
+        if moved < 1e-12 * max(1.0, float(np.abs(beta).max())):
+            break
+    tss = yy - sy * sy / sw if sw else 0.0
+    rss = yy - 2 * beta @ m + beta @ g @ beta
+    return dict(zip(names, beta.tolist(), strict=True)) | {"r2": 1 - rss / tss if tss > 0 else math.nan, "n": n}
+
+
+def nested_logit(rows: DataFrame, choice: str, alternatives: dict[str, dict[str, str]], nests: dict[str, list[str]], weight: str | None = None, rounds: int = 80, tolerance: float = 1e-7) -> dict[str, float]:
+    """Two-level nested logit by maximum likelihood: parameters, lambda_<nest> for nests of several alternatives, ll, ll_null, rho2_bar, n.
+
+    alternatives as for the multinomial logit; each is in one nest.  A nest's
+    lambda is the scale of its inclusive value, 1 for the multinomial logit, and is
+    kept in [0.05, 1.5].  Each step is one aggregate that brings the scores' sum and
+    their outer products (Berndt-Hall-Hall-Hausman), halved until the likelihood grows.
+    """
+    names = sorted({p for a in alternatives.values() for p in a})
+    scaled = [k for k, members in nests.items() if len(members) > 1]
+    p, q = len(names), len(names) + len(scaled)
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    zero = F.lit(0.0)
+    add = lambda items: reduce(lambda a, b: a + b, items, zero)
+    xs = {a: [(F.lit(1.0) if terms[n] == "1" else F.col(terms[n]).cast("double")) if n in terms else zero for n in names] for a, terms in alternatives.items()}
+    rows = rows.where(F.col(choice).isin(*alternatives)).persist()
+
+    def moments(theta: np.ndarray):
+        lam = {k: float(theta[p + scaled.index(k)]) if k in scaled else 1.0 for k in nests}
+        v = {a: add([F.lit(float(b)) * x for b, x in zip(theta, xs[a], strict=False)]) for a in alternatives}
+        r = rows.select("*", *[v[a].alias(f"_v_{a}") for a in alternatives])
+        v = {a: F.col(f"_v_{a}") for a in alternatives}
+        top = {k: F.greatest(*[v[a] for a in members]) if len(members) > 1 else v[members[0]] for k, members in nests.items()}
+        e = {a: F.exp((v[a] - top[k]) / lam[k]) for k, members in nests.items() for a in members}
+        r = r.select("*", *[(top[k] / lam[k] + F.log(add([e[a] for a in members]))).alias(f"_i_{k}") for k, members in nests.items()])
+        i = {k: F.col(f"_i_{k}") for k in nests}
+        best = F.greatest(*[F.lit(lam[k]) * i[k] for k in nests]) if len(nests) > 1 else F.lit(lam[next(iter(nests))]) * i[next(iter(nests))]
+        r = r.select("*", (best + F.log(add([F.exp(F.lit(lam[k]) * i[k] - best) for k in nests]))).alias("_total"))
+        within = {a: F.exp(v[a] / lam[k] - i[k]) for k, members in nests.items() for a in members}
+        outer = {k: F.exp(F.lit(lam[k]) * i[k] - F.col("_total")) for k in nests}
+        mean = {k: [add([within[a] * xs[a][j] for a in members]) for j in range(p)] for k, members in nests.items()}
+        inner = {k: add([within[a] * v[a] for a in members]) for k, members in nests.items()}
+        chosen = lambda value: add([F.when(F.col(choice) == a, value(a, k)).otherwise(zero) for k, members in nests.items() for a in members])
+        ll = chosen(lambda a, k: v[a] / lam[k] - i[k] + F.lit(lam[k]) * i[k]) - F.col("_total")
+        score = [chosen(lambda a, k, j=j: (xs[a][j] - mean[k][j]) / lam[k] + mean[k][j]) - add([outer[k] * mean[k][j] for k in nests]) for j in range(p)]
+        for k in scaled:
+            at = lam[k]
+            own = chosen(lambda a, n, k=k, at=at: (-v[a] + inner[k]) / (at * at) + i[k] - inner[k] / at if n == k else zero)
+            score.append(own - outer[k] * (i[k] - inner[k] / at))
+        r = r.select(w.alias("_w"), ll.alias("_ll"), *[s.alias(f"_s{j}") for j, s in enumerate(score)])
+        aggs = [F.sum(F.col("_w") * F.col("_ll")).alias("ll"), F.count("*").alias("n"), *[F.sum(F.col("_w") * F.col(f"_s{j}")).alias(f"s{j}") for j in range(q)]]
+        aggs += [F.sum(F.col("_w") * F.col(f"_s{a}") * F.col(f"_s{b}")).alias(f"b{a}_{b}") for a in range(q) for b in range(a, q)]
+        got = r.agg(*aggs).first()
+        curve = np.array([[got[f"b{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(q)] for a in range(q)])
+        return got.ll or 0.0, np.array([got[f"s{j}"] or 0.0 for j in range(q)]), curve, got.n
+
+    try:
+        theta = np.concatenate([np.zeros(p), np.ones(len(scaled))])
+        ll, slope, curve, n = moments(theta)
+        null = ll
+        for _ in range(rounds):
+            step = np.linalg.lstsq(curve + 1e-9 * np.eye(q), slope, rcond=None)[0]
+            scale = 1.0
+            while True:
+                new = theta + scale * step
+                new[p:] = np.clip(new[p:], 0.05, 1.5)
+                found = moments(new)
+                if found[0] >= ll - 1e-9 or scale < 1e-4:
+                    break
+                scale /= 2
+            moved = found[0] - ll
+            if moved < 0:
+                break
+            theta, (ll, slope, curve, n) = new, found
+            if moved < tolerance * max(1.0, abs(ll)):
+                break
+    finally:
+        rows.unpersist()
+    out = dict(zip([*names, *(f"lambda_{k}" for k in scaled)], theta.tolist(), strict=True))
+    return out | {"ll": ll, "ll_null": null, "rho2_bar": 1 - (ll - q) / null if null else math.nan, "n": n}

@@ -65,8 +65,9 @@ def _keep(p: np.ndarray, tolerance: float) -> np.ndarray:
         if b - a < 2:
             continue
         d, q = p[b] - p[a], p[a + 1 : b] - p[a]
-        n = math.hypot(*d)
-        off = np.abs(d[0] * q[:, 1] - d[1] * q[:, 0]) / n if n else np.hypot(q[:, 0], q[:, 1])
+        n = float(d @ d)
+        foot = np.clip(q @ d / n, 0.0, 1.0) if n else np.zeros(len(q))  # the nearest place of the stretch itself, not of its line
+        off = np.hypot(q[:, 0] - foot * d[0], q[:, 1] - foot * d[1])
         k = int(off.argmax())
         if off[k] > tolerance:
             keep[a + 1 + k] = True

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoreach.operators.spatial import within_radius
+from isoreach.sources.store import stash
 
 TIERS = ("c2c", "c2z", "z2z")
 
@@ -29,7 +30,7 @@ def tiered_pairs(cells: DataFrame, zones: DataFrame, r_cells: float, r_medium: f
     sides that the tier gives in cells are expanded."""
     d = F.col("dist")
     tier = F.when(d < r_cells, "c2c").when(d < r_medium, "c2z").when(d < r_zones, "z2z")
-    pairs = zone_pairs(zones, r_zones).withColumn("tier", tier).where("tier is not null")
+    pairs = stash(zones.sparkSession, zone_pairs(zones, r_zones).withColumn("tier", tier).where("tier is not null"), "zone-pairs")  # read once a tier
     o = cells.select(F.col("cell_id").alias("oc"), F.col("zone_id").alias("oz"))
     t = cells.select(F.col("cell_id").alias("dc"), F.col("zone_id").alias("dz"))
     near = pairs.where("tier <> 'z2z'").join(o, F.col("orig_zone") == F.col("oz"))

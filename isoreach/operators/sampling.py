@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Slices of the unit interval at most; a row that has all the weight is filed under all of them.
+SLICES = 1 << 20
+
+
 def uniform(key: Column, seed: int) -> Column:
     """A number in (0, 1) that is fixed by the key and the seed."""
     return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
@@ -29,10 +33,11 @@ def weighted_with_replacement(rows: DataFrame, key: str, weight: str, n: int, se
     """n draws in proportion to weight: key, times.
 
     Each draw's uniform number falls into one row's share of the cumulative
-    weight.  Both sides are cut into 256 slices of the unit interval, so the range
-    join is an equi-join on the slice.
+    weight.  Both sides are cut into as many slices of the unit interval as there
+    are draws (SLICES at most), so the range join is an equi-join on the slice, a
+    slice has about one draw, and a row is filed under the slices that it covers.
     """
-    slices = 256
+    slices = max(1, min(n, SLICES))
     rows = rows.where(F.col(weight) > 0)
     total = rows.agg(F.sum(weight)).first()[0]
     if not total:
@@ -70,3 +75,28 @@ def volume_ratio(edges: DataFrame, flows: DataFrame, scale: float, betas: list[f
     per_lane = F.when(F.col("rank") >= 6, 30_000.0).when(F.col("rank") >= 3, 15_000.0).otherwise(10_000.0)
     out = out.withColumn("capacity", per_lane * F.greatest(F.lit(1.0), F.coalesce("lanes", F.lit(1.0)))).withColumn("vc", F.col("flow_estimate") / F.col("capacity"))
     return out.withColumns({f"vc_beta_{b:.1f}": F.pow(F.least("vc", F.lit(most)), F.lit(b)) for b in betas}).drop("_e", "_f")
+
+
+def nested_sample(pairs: DataFrame, origin: str, dest: str, bin_: str, weight: str, target: dict[int, float], n: int, seed: int) -> DataFrame:
+    """n destinations of each origin, drawn with replacement: a cost bin by its target share among the bins that the origin
+    reaches, then a destination of the bin by weight.  Returns origin, dest, times.
+
+    Draws are hashes of the origin, their number and the seed.  An origin's
+    destinations are laid on the unit interval, bin by bin, and a draw takes the
+    one that it falls on, by the slice of the interval.
+    """
+    share = F.element_at(F.create_map(*[F.lit(x) for k, v in target.items() for x in (k, float(v))]), F.col(bin_))
+    rows = pairs.select(origin, dest, F.col(bin_).alias("_b"), F.col(weight).cast("double").alias("_w"), share.alias("_t")).where("_w > 0 and _t > 0")
+    rows = rows.groupBy(origin, dest, "_b").agg(F.sum("_w").alias("_w"), F.first("_t").alias("_t"))
+    per_bin = rows.groupBy(origin, "_b").agg(F.sum("_w").alias("_in"), F.first("_t").alias("_t"))
+    over = Window.partitionBy(origin)
+    laid = per_bin.withColumn("_all", F.sum("_t").over(over)).withColumn("_from", F.coalesce(F.sum("_t").over(over.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / F.col("_all"))
+    laid = laid.select(F.col(origin).alias("_o"), F.col("_b").alias("_lb"), "_in", "_from", (F.col("_t") / F.col("_all")).alias("_share"))
+    rows = rows.join(laid, (F.col(origin) == F.col("_o")) & (F.col("_b") == F.col("_lb")))
+    w = Window.partitionBy(origin, "_b").orderBy(dest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_hi", F.col("_from") + F.col("_share") * F.sum("_w").over(w) / F.col("_in")).withColumn("_lo", F.col("_hi") - F.col("_share") * F.col("_w") / F.col("_in"))
+    rows = rows.select(origin, dest, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") * n).cast("int"), F.least(F.floor(F.col("_hi") * n), F.lit(n - 1)).cast("int"))).alias("_slice"))
+    draws = rows.select(F.col(origin).alias("_do")).distinct().withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    draws = draws.withColumn("_u", uniform(F.concat_ws(":", "_do", "_k"), seed)).withColumn("_us", F.floor(F.col("_u") * n).cast("int"))
+    hit = draws.join(rows, (F.col("_do") == F.col(origin)) & (F.col("_us") == F.col("_slice"))).where((F.col("_u") > F.col("_lo")) & (F.col("_u") <= F.col("_hi")))
+    return hit.groupBy(origin, dest).agg(F.count("*").alias("times"))

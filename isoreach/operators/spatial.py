@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isoreach.sources.store import release, stash
+
 
 def bucket(x: Column | str, size: float) -> Column:
     return F.floor((F.col(x) if isinstance(x, str) else x) / F.lit(float(size))).cast("long")
@@ -59,17 +61,51 @@ def nearest(left: DataFrame, key: str, right: DataFrame, right_key: str, max_dis
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def nearest_unbounded(left: DataFrame, key: str, right: DataFrame, right_key: str, start: float, lxy: tuple[str, str] = ("x", "y"), rxy: tuple[str, str] = ("dx", "dy"), rounds: int = 12) -> DataFrame:
-    """The nearest right row of each left row, by rings of doubling radius for those still without one."""
-    found, rest, r = [], left, float(start)
-    for _ in range(rounds):
-        hit = nearest(rest, key, right, right_key, r, 1, lxy, rxy)
-        found.append(hit)
-        rest = rest.join(hit.select(key), key, "left_anti")
-        r *= 2
-        if rest.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found)
+def _box(df: DataFrame, xy: tuple[str, str]) -> tuple[float, float, float, float] | None:
+    """(x0, y0, x1, y1) of the rows that have a place, None without any."""
+    rows = df.where(F.col(xy[0]).isNotNull() & F.col(xy[1]).isNotNull())
+    r = rows.agg(*(f(c).cast("double") for f in (F.min, F.max) for c in xy)).first()
+    return None if r[0] is None else tuple(r)
+
+
+def nearest_unbounded(left: DataFrame, key: str, right: DataFrame, right_key: str, start: float, lxy: tuple[str, str] = ("x", "y"), rxy: tuple[str, str] = ("dx", "dy")) -> DataFrame:
+    """The nearest right row of each left row: left columns, right columns, dist, rank; one row for each left row.
+
+    The radius grows for the rows still without a partner, twofold, or at once to
+    the least distance that a row has from the box of all partners, until it spans
+    both sides.  Each round is stored, so no round runs again.  A left row without
+    a place, or without any partner at all, has nulls.
+    """
+    spark = left.sparkSession
+    names = [key, *[c for c in left.columns if c != key], *[c for c in right.columns], "dist", "rank"]
+    placed = F.col(lxy[0]).isNotNull() & F.col(lxy[1]).isNotNull()
+    rest, box = stash(spark, left, "nearest-rest"), _box(right, rxy)
+    found, nowhere = [], rest.where(~placed)
+    own = _box(rest, lxy)
+    if box and own:
+        partners = stash(spark, right, "nearest-right")
+        span = math.hypot(max(box[2], own[2]) - min(box[0], own[0]), max(box[3], own[3]) - min(box[1], own[1]))
+        gap = F.sqrt(sum(F.pow(F.greatest(F.lit(0.0), F.lit(box[k]) - F.col(c), F.col(c) - F.lit(box[k + 2])), F.lit(2.0)) for k, c in enumerate(lxy)))
+        todo, r = rest.where(placed), float(start)
+        while True:
+            least = todo.agg(F.min(gap)).first()[0]
+            if least is None:
+                break
+            r = max(r, min(least * (1 + 1e-9), span))
+            hit = stash(spark, nearest(todo, key, partners, right_key, r, 1, lxy, rxy).select(*names), "nearest-hit")
+            found.append(hit)
+            left_over = stash(spark, todo.join(hit.select(key), key, "left_anti").select(*left.columns), "nearest-rest")
+            release(spark, todo)
+            todo = left_over
+            if r > span:
+                break
+            r = max(2 * r, float(start))
+        release(spark, partners)
+    else:
+        nowhere = rest
+    kinds = dict(right.dtypes) | {"dist": "double", "rank": "int"}
+    bare = nowhere.select(*[F.col(c) if c in left.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names])
+    return reduce(DataFrame.unionByName, [*found, bare])
 
 
 def snap_with_priority(points: DataFrame, key: str, nodes: DataFrame, node_key: str, priority: str, near: float, far: float) -> DataFrame:
@@ -92,13 +128,33 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring", cell: float = 100.0, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
-    """Pairs of a point and each polygon that holds it, via the grid cells of the polygon's bounding box."""
+    """Pairs of a point and each polygon that holds it, via grids of cells as wide as the polygons.
+
+    A polygon is filed under the grid, of cell times a power of two, whose cells
+    are no narrower than its bounding box, so in four cells at most; a point is
+    looked up once in each of the grids that are in use, some dozens at most.
+    """
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    boxes = polygons.withColumns({"_x0": bucket(F.array_min(xs), cell), "_x1": bucket(F.array_max(xs), cell), "_y0": bucket(F.array_min(ys), cell), "_y1": bucket(F.array_max(ys), cell)})
-    boxes = boxes.withColumn("_px", F.explode(F.sequence("_x0", "_x1"))).withColumn("_py", F.explode(F.sequence("_y0", "_y1"))).drop("_x0", "_x1", "_y0", "_y1")
-    at = points.withColumns({"_qx": bucket(xy[0], cell), "_qy": bucket(xy[1], cell)})
-    pairs = at.join(boxes, (F.col("_qx") == F.col("_px")) & (F.col("_qy") == F.col("_py")))
-    return pairs.where(in_ring(F.col(xy[0]), F.col(xy[1]), F.col(ring))).drop("_qx", "_qy", "_px", "_py")
+    boxes = polygons.withColumns({"_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)})
+    widest = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(float(cell)))
+    boxes = boxes.withColumn("_level", F.ceil(F.log2(widest / float(cell)) - 1e-9).cast("int"))
+    levels = sorted(r[0] for r in boxes.select("_level").distinct().collect() if r[0] is not None)
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_level"))
+    at = lambda c: F.floor(F.col(c) / size).cast("long")
+    boxes = boxes.withColumn("_px", F.explode(F.sequence(at("_x0"), at("_x1")))).withColumn("_py", F.explode(F.sequence(at("_y0"), at("_y1")))).drop("_x0", "_x1", "_y0", "_y1")
+    boxes = boxes.withColumnRenamed("_level", "_plevel")
+    placed = points.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumns({"_qx": at(xy[0]), "_qy": at(xy[1])})
+    pairs = placed.join(boxes, (F.col("_level") == F.col("_plevel")) & (F.col("_qx") == F.col("_px")) & (F.col("_qy") == F.col("_py")))
+    return pairs.where(in_ring(F.col(xy[0]), F.col(xy[1]), F.col(ring))).drop("_qx", "_qy", "_px", "_py", "_level", "_plevel")
+
+
+def points_near_polygons(points: DataFrame, key: str, polygons: DataFrame, radius: float, ring: str = "ring", xy: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """Points inside a polygon or at most radius from its edge, each once: the polygon with a buffer, without building it."""
+    inside = points_in_polygons(points, polygons.select(ring), ring, xy=xy).select(key)
+    after = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
+    edges = polygons.select(F.explode(F.zip_with(ring, after, lambda a, b: F.struct(a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")))).alias("e")).select("e.*")
+    beside = near_segments(points, edges, radius, xy=xy).select(key)
+    return points.join(inside.unionByName(beside).distinct(), key, "left_semi")
 
 
 def polygon_else_nearest(points: DataFrame, key: str, polygons: DataFrame, polygon_key: str, centres: DataFrame, max_distance: float) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoreach.functions import survey as S
+from isoreach.sources.store import stash
 
 # Speed envelopes in km/h by mode, and the limits (s, m) of trip plausibility.
 SPEEDS = {"walk": (2.0, 8.0), "rbike": (5.0, 30.0), "ebike25": (7.0, 32.0), "ebike45": (7.0, 47.0), "anybike": (5.0, 32.0), "anyebike": (7.0, 47.0), "car": (5.0, 130.0)}
@@ -130,9 +131,22 @@ def detailed_weights(rows: DataFrame, group: str, weight: str, listed: str, deta
 
 
 def first_seen_codes(rows: DataFrame, column: str, order: str, out: str) -> DataFrame:
-    """Whole-number codes in the order in which the values first come up; null is -1."""
+    """Whole-number codes in the order in which the values first come up; null is -1.
+
+    The values are sorted by ranges and numbered within each; only the ranges'
+    sizes come together in one place.
+    """
+    spark = rows.sparkSession
     seen = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias("_first"))
-    codes = seen.withColumn(out, F.row_number().over(Window.orderBy("_first")) - 1).select(F.col(column).alias("_v"), out)
+    seen = stash(spark, seen.repartitionByRange("_first", column).select(F.col(column).alias("_v"), "_first", F.spark_partition_id().alias("_part")), "first-seen")
+    sizes = {r["_part"]: r["count"] for r in seen.groupBy("_part").count().collect()}  # one row a range
+    before, starts = 0, []
+    for part in sorted(sizes):
+        starts.append((part, before))
+        before += sizes[part]
+    starts = spark.createDataFrame(starts, "_sp int, _before long")
+    at = F.row_number().over(Window.partitionBy("_part").orderBy("_first", "_v"))
+    codes = seen.join(starts, F.col("_part") == F.col("_sp")).select("_v", (F.col("_before") + at - 1).cast("int").alias(out))
     return rows.join(codes, F.col(column) == F.col("_v"), "left").drop("_v").withColumn(out, F.coalesce(out, F.lit(-1)))
 
 
@@ -145,3 +159,34 @@ def weighted_means(rows: DataFrame, weight: str, prefix: str = "sd_") -> DataFra
 def dummies(rows: DataFrame, column: str, vocabulary: list[str], prefix: str = "sd_cat_") -> DataFrame:
     """A 0/1 column for each word of the vocabulary, present or not."""
     return rows.withColumns({f"{prefix}{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in vocabulary})
+
+
+def legs_in_order(rows: DataFrame, person: str, key: str, time: str, value: str) -> DataFrame:
+    """A person's records as legs: leg_id, leg_no from 1, n_legs, minutes since the leg before, and the value's change from it."""
+    w = Window.partitionBy(person).orderBy(time, key)
+    seconds = F.col(time).cast("timestamp").cast("double")
+    return rows.withColumns(
+        {
+            "leg_id": F.col(key),
+            "leg_no": F.row_number().over(w),
+            "n_legs": F.count("*").over(Window.partitionBy(person)),
+            "gap_min": (seconds - F.lag(seconds).over(w)) / 60,
+            "change": F.col(value) - F.lag(value).over(w),
+        }
+    )
+
+
+def standard_journeys(raw: DataFrame, year: str, person: str, order: list[str], source: str, categories: dict[str, tuple[str, dict[str, str], str]], numbers: dict[str, tuple[str, list[float]]]) -> DataFrame:
+    """A year's raw records in the standard form: person_id and journey_id made of the year, the person and a running number,
+    categories (column, code -> word, word for the rest), and numbers (column, codes that mean missing)."""
+    w = Window.partitionBy(person).orderBy(*order)
+    number = F.row_number().over(w)
+    out = {"person_id": F.concat_ws("_", F.lit(year), person), "journey_id": F.concat_ws("_", F.lit(year), person, number), "source_id": F.col(source)}
+    for name, (column, words, rest) in categories.items():
+        word = F.lit(rest)
+        for code, value in words.items():
+            word = F.when(F.col(column) == code, value).otherwise(word)
+        out[name] = word
+    for name, (column, missing) in numbers.items():
+        out[name] = F.when(~F.col(column).isin(*missing) & (F.col(column) > 0), F.col(column))
+    return raw.select(*[c.alias(k) for k, c in out.items()])

@@ -184,8 +184,15 @@ def pooled_fit(profiles: dict[str, DataFrame], y: str, features: list[str]) -> d
     return estimators.median_regression(rows, y, features)
 
 
-def spec_grid(rows: DataFrame, y: str, sets: dict[str, list[str]]) -> dict[str, dict[str, float]]:
-    return {name: estimators.ols(rows, y, features) for name, features in sets.items()}
+def spec_grid(rows: DataFrame, y: str, sets: dict[str, list[str]], constrained: bool | None = None) -> dict[str, dict[str, float]]:
+    """A fit for each feature set; with constrained=None both free ones and, under '<name>_constrained', ones whose coefficients aren't negative."""
+    out = {}
+    for name, features in sets.items():
+        if constrained is not True:
+            out[name] = estimators.ols(rows, y, features)
+        if constrained is not False:
+            out[name if constrained else f"{name}_constrained"] = estimators.bounded_ols(rows, y, features, lower=dict.fromkeys(features, 0.0))
+    return out
 
 
 def cross_validated(rows: DataFrame, wave: str, y: str, features: list[str], out: str) -> DataFrame:

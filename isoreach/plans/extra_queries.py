@@ -43,7 +43,7 @@ def n14(spark, sf):
     return G.simplify(lines, "line", 10.0).select("l_orderkey", F.size("line").alias("n"), F.round(G.length(F.col("line")), 4).alias("length"))
 
 
-@query("d10_hexagons", None)
+@query("d10_hexagons", ctes("cells") + ", c as (select *, (sqrt(3::double) / 3 * x - y / 3) / 60 as q, 2.0::double / 3 * y / 60 as r from cells_), k as (select *, round_even(q, 0) as rq, round_even(r, 0) as rr, round_even(-q - r, 0) as rs from c), o as (select *, abs(rq - q) > abs(rr - r) and abs(rq - q) > abs(rs + q + r) as by_q, abs(rr - r) > abs(rs + q + r) as by_r from k) select cast(case when by_q then -rr - rs else rq end as bigint) || ':' || cast(case when not by_q and by_r then -rq - rs else rr end as bigint) as hex, count(*) as n, round(sum(population), 4) as population from o group by 1")
 def d10(spark, sf):
     return load(spark, sf, "cells").groupBy(G.hexagon(F.col("x"), F.col("y"), 60.0).alias("hex")).agg(F.count("*").alias("n"), F.round(F.sum("population"), 4).alias("population"))
 
@@ -200,7 +200,7 @@ def e10(spark, sf):
     return X.availability(o, {"car": "t_car", "bike": "t_bike"}, {"bike": "has_bike"}, 1200.0).select("o_orderkey", "av_car", "av_bike")
 
 
-@query("e12_cross_validation", None)
+@query("e12_cross_validation", ctes("cells") + ", f as (select w, regr_slope(population, x) as b, regr_intercept(population, x) as a from cells_ join (select unnest([0, 1]) as w) on cell_id % 2 <> w group by w) select cell_id, round(a + b * x, 4) as predicted from cells_ join f on cell_id % 2 = w")
 def e12(spark, sf):
     c = load(spark, sf, "cells").select("cell_id", (F.col("cell_id") % 2).alias("wave"), "x", "population")
     return rounded(X.cross_validated(c, "wave", "population", ["x"], "predicted").select("cell_id", "predicted"), "predicted")

@@ -10,6 +10,7 @@ from isoreach.operators import estimators as E
 from isoreach.operators import graph as N
 from isoreach.operators import routing as R
 from isoreach.operators import survey as T
+from isoreach.operators.validation import spec_grid
 from isoreach.plans.domain import ctes, load, query
 
 # ---- road tags: made from the orders' keys ----
@@ -395,6 +396,19 @@ def e9(spark, sf):
     return _one_row(spark, E.multinomial_logit(c, "choice", {"car": {"asc_car": "1", "b_time": "t_car"}, "bus": {"b_time": "t_bus"}}, rounds=15))
 
 
+@query("e9_nested_logit", None)
+def e9_nested(spark, sf):
+    c = load(spark, sf, "cells").select((F.col("x") / 500).alias("t_car"), (F.col("y") / 500).alias("t_bus"), (F.col("y") / 450 + 0.2).alias("t_rail"), F.when((F.col("cell_id") * 13 % 100) / 50.0 + F.col("x") / 500 < F.col("y") / 500 + 1, "car").when(F.col("cell_id") % 3 == 0, "rail").otherwise("bus").alias("choice"))
+    return _one_row(spark, E.nested_logit(c, "choice", {"car": {"asc_car": "1", "b_time": "t_car"}, "bus": {"b_time": "t_bus"}, "rail": {"b_time": "t_rail"}}, {"road": ["car"], "public": ["bus", "rail"]}, rounds=12))
+
+
+@query("e7_spec_grid", None)
+def e7(spark, sf):
+    rows = load(spark, sf, "cells").select((F.col("x") / 1000).alias("a"), (F.col("y") / 1000).alias("b"), (F.col("population") / 1000).alias("t"))
+    fits = spec_grid(rows, "t", {"one": ["a"], "two": ["a", "b"]})
+    return spark.createDataFrame([(k, float(f["const"]), float(f["a"]), float(f.get("b", 0.0)), float(f["r2"])) for k, f in sorted(fits.items())], "spec string, const double, a double, b double, r2 double")
+
+
 @query("x3_volume_ratio", EDGES + " select way_id as edge_id, round(10 * w, 4) as flow_estimate, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double as capacity, round(power(least(10 * w / (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2), 2), 2), 8) as vc_beta from e0 where rank >= 4 union all select way_id, 0, (case when rank >= 6 then 30000 when rank >= 3 then 15000 else 10000 end * 2)::double, 0 from e0 where rank < 4")
 def x3(spark, sf):
     from isoreach.operators.sampling import volume_ratio

@@ -44,7 +44,7 @@ def read_matrix_text(spark: SparkSession, path: str) -> DataFrame:
     head = [r[0].strip() for r in lines.limit(8).collect()]
     factor = float(head[4]) if len(head) > 4 else 1.0
     parts = F.split(F.trim("value"), r"\s+")
-    data = lines.where(F.col("value").rlike(r"^\s*\d+\s+\d+\s+-?[0-9.]+\s*$"))
+    data = lines.where(F.col("value").rlike(r"^\s*\d+\s+\d+\s+-?[0-9.]+([eE][-+]?\d+)?\s*$"))
     return data.select(parts[0].cast("long").alias("orig"), parts[1].cast("long").alias("dest"), (parts[2].cast("double") * factor).alias("value"))
 
 
@@ -134,3 +134,37 @@ def hectare_points(rows: DataFrame, key: str = "id") -> DataFrame:
     """x and y from ids 'x:y'."""
     parts = F.split(key, ":")
     return rows.withColumns({"x": parts[0].try_cast("double"), "y": parts[1].try_cast("double")})
+
+
+def mosaic(tiles: DataFrame, box: tuple[int, int, int, int]) -> DataFrame:
+    """Pixels (tile, col, row, value) of several tiles as one raster within (col0, row0, col1, row1), ends included; the later tile covers the earlier, then the larger value."""
+    inside = tiles.where(F.col("col").between(box[0], box[2]) & F.col("row").between(box[1], box[3]))
+    return inside.groupBy("col", "row").agg(F.max(F.struct("tile", "value")).alias("m")).select("col", "row", "m.value")
+
+
+#: Tags of ways that any rule here reads, as exact keys and prefixes; others are dropped at the source.
+USEFUL_TAGS = ("highway", "access", "oneway", "junction", "lanes", "maxspeed", "surface", "smoothness", "tracktype", "cycleway", "bicycle", "foot", "motor_vehicle", "motorcar", "service", "footway", "sidewalk", "bridge", "tunnel", "sac_scale", "mtb:scale", "area", "cyclestreet", "vehicle")
+
+
+def highway_ways(ways: DataFrame, relations: DataFrame | None = None) -> DataFrame:
+    """Ways (id, tags map, nodes array) that are roads or paths, with useful tags only; members of mountain-bike routes get mtb_route=yes.
+
+    relations: tags map, members array of way ids.  The ways are read as a table
+    that was extracted before, since no reader of the binary format is at hand.
+    """
+    keep = lambda k, v: F.split(k, ":")[0].isin(*USEFUL_TAGS) | k.isin(*USEFUL_TAGS)
+    roads = ways.where(F.try_element_at("tags", F.lit("highway")).isNotNull() & (F.size("nodes") >= 2))
+    roads = roads.select("id", F.map_filter("tags", keep).alias("tags"), "nodes")
+    if relations is None:
+        return roads
+    routes = relations.where(F.try_element_at("tags", F.lit("route")) == "mtb").select(F.explode("members").alias("_m")).distinct()
+    marked = F.when(F.col("_m").isNotNull(), F.map_concat(F.map_filter("tags", lambda k, v: k != "mtb_route"), F.create_map(F.lit("mtb_route"), F.lit("yes")))).otherwise(F.col("tags"))
+    return roads.join(routes, F.col("id") == F.col("_m"), "left").select("id", marked.alias("tags"), "nodes")
+
+
+def lakes(layer: DataFrame, ring: str = "ring", tolerance: float = 2.0) -> DataFrame:
+    """Lake outlines without heights, simplified."""
+    from isoreach.operators.geometry import simplify
+
+    flat = layer.withColumn(ring, F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+    return simplify(flat, ring, tolerance)

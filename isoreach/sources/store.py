@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -21,8 +22,37 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{LOCAL}"
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
 def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write df once and return it as read again: a short plan of known size that survives lost executors."""
     path = f"{shared_dir(spark)}/isoreach-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append((spark, path))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash_path = path
+    return out
+
+
+def release(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete stored tables that no later step reads; a frame that isn't one is left alone."""
+    for df in frames:
+        path = getattr(df, "_stash_path", None)
+        if path:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _sweep() -> None:
+    for spark, path in _written:
+        try:
+            if spark.sparkContext._jsc is not None:
+                _delete(spark, path)
+        except Exception:  # the session has gone; the cluster's own cleaning removes the folder
+            return

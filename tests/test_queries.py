@@ -1,4 +1,4 @@
-"""Every registered query with SQL must give DuckDB's rows on the smallest tables."""
+"""Every registered query with SQL must give DuckDB's rows on the smallest tables; test_plain_results has the others."""
 
 import datetime
 import math
@@ -28,15 +28,12 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+@pytest.mark.parametrize("name", sorted(k for k, (_, sql) in REGISTRY.items() if sql))
 def test_query_equals_sql(spark, duck, name):
     make, sql = REGISTRY[name]
     df = make(spark, SF)
     columns = sorted(df.columns)
     got = sorted(str(tuple(plain(r[c]) for c in columns)) for r in df.collect())
-    if sql is None:
-        assert got or not got
-        return
     table = duck.sql(sql).to_arrow_table()
     assert sorted(table.column_names) == columns
     assert got == sorted(str(tuple(plain(r[c]) for c in columns)) for r in table.to_pylist())
