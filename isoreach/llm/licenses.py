@@ -103,9 +103,9 @@ SINGLE = (
     ("cc0", 80, "cc0", "cc0(?: 1 0)?(?: universal)?"),
     ("cc0", 80, "creative", "creative commons zero(?: v?1 0)?(?: universal)?"),
     ("cc0", 72, "waives", "waives all of his or her rights to the work worldwide under copyright law"),
-    ("cc0", 70, "waiver", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0", 70, "deed", "the person who associated a work with this deed has dedicated the work to the public domain"),
     ("public-domain", 60, "domain", "(?:released|dedicated|placed|is|are) (?:in|into|to) the public domain"),
-    ("public-domain", 58, "domain", "(?:hereby )?(?:disclaims?|waives?) (?:all )?copyright (?:interest )?(?:in|to) this (?:software|work|source code)"),
+    ("public-domain", 58, "copyright", "(?:hereby )?(?:disclaims?|waives?) (?:all )?copyright (?:interest )?(?:in|to) this (?:software|work|source code)"),
     ("public-domain", 62, "blessing", "in place of a legal notice here is a blessing"),
     ("mit", 70, "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", 72, "sublicense", "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
@@ -122,7 +122,7 @@ SINGLE = (
     ("bsd-3-clause", 70, "endorse", "may be used to endorse or promote products derived from this software"),
     ("bsd-3-clause", 72, "endorse", "nor the names of its contributors may be used to endorse or promote products"),
     ("bsd-4-clause", 72, "advertising", "all advertising materials mentioning features or use of this software must display"),
-    ("bsd-2-clause", 64, "freebsd", "those of the authors and should not be interpreted as representing official policies"),
+    ("bsd-2-clause", 64, "representing", "those of the authors and should not be interpreted as representing official policies"),
     ("apache-2", 74, "apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
     ("apache-2", 76, "apache", "licensed under the apache license version 2 0 the license"),
     ("apache-2", 64, "conditions", "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
@@ -142,7 +142,7 @@ SINGLE = (
     ("agpl", 75, "redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
     ("agpl", 58, "affero", "you should have received a copy of the gnu affero general public license"),
     ("agpl-3", 78, "affero", "gnu affero general public license version 3 19 november 2007"),
-    ("gpl-classpath", 80, "classpath", "as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("gpl-classpath", 80, "exception", "as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
     ("mpl-2", 76, "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("mpl-1.1", 76, "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
     ("epl-1", 76, "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
@@ -152,15 +152,15 @@ SINGLE = (
     ("zlib", 72, "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
     ("zlib", 70, "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
     ("bsl-1", 72, "boost", "distributed under the boost software license version 1 0"),
-    ("bsl-1", 70, "machine", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("bsl-1", 70, "accompanying", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
     ("unlicense", 72, "unencumbered", "this is free and unencumbered software released into the public domain"),
     ("unlicense", 70, "compile", "anyone is free to copy modify publish use compile sell or distribute this software"),
     ("wtfpl", 72, "want", "do what the fuck you want to public license"),
     ("wtfpl", 70, "want", "you just do what the fuck you want to"),
     ("beerware", 72, "beer", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
     ("ofl-1.1", 74, "font", "this font software is licensed under the sil open font license version 1 1"),
-    ("artistic", 66, "artistic", "the intent of this document is to state the conditions under which a package may be copied"),
-    ("artistic-2", 74, "artistic", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("artistic", 66, "package", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2", 74, "package", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
     ("python-2", 74, "python", "this license agreement is between the python software foundation psf and the individual or organization"),
     ("openssl", 74, "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
     ("curl", 70, "curl", "curl license"),
@@ -175,19 +175,21 @@ SINGLE = (
     ("w3c", 72, "w3c", "w3c software notice and license"),
     ("opl", 70, "publication", "open publication license(?: v?1 0)?"),
     ("fal", 70, "art", "free art license(?: 1 3)?"),
-    ("etalab", 70, "etalab", "(?:licence|license) ouverte(?: open licence)?(?: etalab)?"),
+    ("etalab", 70, "ouverte", "(?:licence|license) ouverte(?: open licence)?(?: etalab)?"),
     ("llama", 72, "llama", "llama (?:2|3|3 1) community license(?: agreement)?"),
     ("commons-clause", 74, "commons", "commons clause license condition(?: v1 0)?"),
     ("polyform", 72, "polyform", "polyform (?:noncommercial|small business|strict|shield) license(?: 1 0 0)?"),
     ("no-derivatives", 50, "derivative", "no derivative works (?:are )?(?:allowed|permitted)"),
-    ("noncommercial", 50, "commercial", "for non ?commercial use only"),
+    ("noncommercial", 50, "commercial", "for non commercial use only"),
+    ("noncommercial", 50, "noncommercial", "for noncommercial use only"),
     ("noncommercial", 48, "commercial", "commercial use is (?:strictly )?(?:prohibited|not permitted|not allowed)"),
-    ("research-only", 52, "research", "for (?:academic|research)(?: and (?:academic|research|educational))? (?:use|purposes) only"),
+    ("research-only", 52, "research", "for research(?: and (?:academic|educational))? (?:use|purposes) only"),
+    ("research-only", 52, "academic", "for academic(?: and (?:research|educational))? (?:use|purposes) only"),
     ("proprietary", 50, "rights", "all rights reserved"),
     ("proprietary", 55, "proprietary", "proprietary and confidential"),
-    ("proprietary", 54, "reproduction", "unauthorized (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? of this (?:file|document|material|software)"),
+    ("proprietary", 54, "unauthorized", "unauthorized (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? of this (?:file|document|material|software)"),
     ("proprietary", 53, "trade", "contains (?:confidential )?trade secrets of"),
-    ("proprietary", 53, "eula", "end user license agreement"),
+    ("proprietary", 53, "user", "end user license agreement"),
 )
 _LEAD = "(?:licensed|distributed|released|available|provided|published|covered|made available) under (?:the )?(?:terms of (?:the )?)?(?:conditions of (?:the )?)?"
 
