@@ -119,7 +119,7 @@ RULES = (
     Rule("word_length", lambda x: not 2 * x.n_words <= x.word_chars <= 15 * x.n_words),
     Rule("few_distinct", lambda x: 50 * x.n_distinct < x.n_words),
     Rule("one_word", lambda x: 100 * x.top_count > 40 * x.n_words),
-    Rule("digits", lambda x: 2 * x.n_digits > x.word_chars),
+    Rule("digits", lambda x: 10 * x.n_digits > 9 * x.word_chars),
     Rule("capitals", lambda x: 10 * x.n_capitals > 7 * x.word_chars),
     Rule("ellipses", lambda x: x.n_lines >= 4 and 100 * x.n_ellipses > 60 * x.n_lines),
     Rule("bullets", lambda x: x.n_lines >= 4 and 100 * x.n_bullets > 90 * x.n_lines),
@@ -230,6 +230,6 @@ def base_sql() -> str:
       (n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words) as base_failed,
       not (n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words or 10 * n_symbols > 2 * n_words or 10 * n_shouts > 2 * n_words
         or (n_lines >= 4 and 100 * n_dup_lines > 60 * n_lines) or not (2 * n_words <= word_chars and word_chars <= 15 * n_words)
-        or 50 * n_distinct < n_words or 100 * top_count > 40 * n_words or 2 * n_digits > word_chars or 10 * n_capitals > 7 * word_chars
+        or 50 * n_distinct < n_words or 100 * top_count > 40 * n_words or 10 * n_digits > 9 * word_chars or 10 * n_capitals > 7 * word_chars
         or (n_lines >= 4 and 100 * n_ellipses > 60 * n_lines) or (n_lines >= 4 and 100 * n_bullets > 90 * n_lines)) as kept
     from m"""
