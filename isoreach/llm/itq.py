@@ -44,14 +44,20 @@ FAR = 48
 #: Rows and bytes of the sample that rotations are learnt on, those of the smallest hashes, and the rounds of learning.
 SAMPLE, SAMPLE_BYTES, ITERATIONS = 10_000, 64 << 20, 30
 #: Members of a bucket that are compared at once; larger buckets are cut into blocks.
-BLOCK = 1024
+BLOCK = 512
 #: Narrowest and widest part; a bucket then holds about eight vectors by chance.
 LEAST, MOST, SPARE = 8, 32, 3
+#: Vectors of one label and length that are simply all compared: they share one bucket.
+FEW = 256
+#: A centre further out than this isn't taken off: differences from it would no longer follow the angles.
+CENTRE = 0.5
 
 
 def learn(x: np.ndarray, bits: int = BITS, iterations: int = ITERATIONS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection) whose signs are the code, for unit vectors x; one rotation for each d bits of d-dimensional vectors."""
     mean = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
+    if np.linalg.norm(mean) > CENTRE:
+        mean = np.zeros(x.shape[1])
     rng = np.random.default_rng(seed)
     d = x.shape[1]
     c = x - mean
@@ -79,8 +85,9 @@ class Model:
     def signs(self, unit: np.ndarray) -> np.ndarray:
         return (unit - self.mean) @ self.projection >= 0
 
-    def sketches(self, signs: np.ndarray) -> np.ndarray:
-        return np.packbits(signs[:, :SKETCH], axis=1, bitorder="little").view(U64)
+    def sketches(self, unit: np.ndarray) -> np.ndarray:
+        """Signs without the centre: of two vectors the share of bits that differ is their angle's share of a half turn."""
+        return np.packbits(unit @ self.projection[:, :SKETCH] >= 0, axis=1, bitorder="little").view(U64)
 
     def places(self, width: int, tables: int) -> np.ndarray:
         """The bits of each table's part; no bit comes again before all have been used."""
@@ -93,7 +100,7 @@ class Model:
 
     def tables(self, unit: np.ndarray, width: int) -> int:
         """The least number of tables of this width that bring together the share RECALL of sampled pairs of cosine SIMILAR."""
-        if len(unit) < 2:
+        if len(unit) < 2 or not width:
             return 1
         rng = np.random.default_rng(width)
         x = unit[:1000]
@@ -136,8 +143,8 @@ def _index(models: dict[int, Model], tables: dict[tuple[int, int], int]):
         for b in batches(it, 4096):
             uid, grp, wide = (b.column(k).to_numpy() for k in range(3))
             for dim, rows, vectors in _by_length(b.column(3)):
-                signs = models[dim].signs(unit_vectors(vectors))
-                sketch = signed(models[dim].sketches(signs))
+                unit = unit_vectors(vectors)
+                signs, sketch = models[dim].signs(unit), signed(models[dim].sketches(unit))
                 for width in np.unique(wide[rows]).tolist():
                     n, some = tables[dim, width], np.flatnonzero(wide[rows] == width)
                     part = models[dim].parts(signs[some], models[dim].places(width, n)).astype(U64)
@@ -277,7 +284,7 @@ def similar_vectors(spark: SparkSession, embeddings: DataFrame, id_col: str = "v
     nodes = nodes.select(F.monotonically_increasing_id().alias("uid"), F.size("vector").alias("dim"), "label", "vector", "id", "copies")
     nodes = stash(spark, nodes.withColumn("grp", F.xxhash64("label", "dim")), "nodes")
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("rows")).where("rows > 1")
-    wide = F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.ceil(F.log2("rows")) - SPARE)).cast("int")
+    wide = F.when(F.col("rows") <= FEW, 0).otherwise(F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.ceil(F.log2("rows")) - SPARE))).cast("int")
     sizes = sizes.select(F.col("grp").alias("sgrp"), wide.alias("wide"))
     grouped = stash(spark, nodes.join(sizes, nodes.grp == sizes.sgrp).select("uid", "grp", "wide", "dim", "vector", "copies"), "grouped")
     models, tables = _models(grouped)
