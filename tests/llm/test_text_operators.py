@@ -223,9 +223,72 @@ def test_license_scan(spark):
     assert len(licenses.rules()) > 200
 
 
-def test_every_license_rule_holds_its_keyword():
+def test_license_lists_of_any_length_take_linear_time(spark):
+    import time
+
+    def scanned(n):
+        row = spark.createDataFrame([(1, "licensed under the mit license and text " * n)], "doc_id long, text string")
+        began = time.time()
+        (r,) = licenses.scan(row).collect()
+        return r, time.time() - began
+
+    r, _ = scanned(20)
+    assert [(d.start, d.words, d.label) for d in r.detections] == [(7 * k, 5, "mit") for k in range(20)]
+    r, short = scanned(2_000)
+    r, long = scanned(20_000)
+    assert len(r.detections) == 20_000 and r.n_base == 20_000 and r.last_word == 7 * 19_999 + 1 and long < 10 * max(short, 2)
+
+
+def brute_detections(text):
+    import re
+
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({k: k + 32 for k in range(65, 91)}))
+    t, found = " " + "  ".join(words) + " ", []
+    for k, r in enumerate(licenses.rules()):
+        for m in re.finditer(licenses._spaced(r.regex), t):
+            found.append((t[: m.start()].count(" ") // 2, m.group().count(" ") // 2, r.priority, k, r.label))
+    covers = lambda y, x: y[0] <= x[0] and y[0] + y[1] >= x[0] + x[1] and (y[2] > x[2] or (y[2] == x[2] and (y[1] > x[1] or (y[1] == x[1] and y[3] < x[3]))))
+    return sorted((x[0], x[1], x[2], x[4]) for x in found if not any(covers(y, x) for y in found))
+
+
+def test_license_detections_equal_brute_force(spark):
+    r = random.Random(6)
+    pieces = ["MIT license", "GNU General Public License v3.0 or later", "Apache License, Version 2.0", "under the terms of the", "BSD 3-Clause", "all rights reserved", "CC BY-NC-SA 4.0", "cc by nc", "lorem ipsum", "Mozilla Public License 2.0", "public domain", "is free and unencumbered software released into the public domain", "This", "commercial use is prohibited", "license"]
+    rows = [(k, " ".join(r.choice(pieces) for _ in range(r.randrange(0, 25)))) for k in range(60)] + [(60, rows_text := "MIT license"), (60, rows_text)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == 62
+    texts = dict(rows)
+    for x in got:
+        assert [tuple(d) for d in x.detections] == brute_detections(texts[x.doc_id])
+
+
+def expanded(regex):
+    """All strings of an expression of literals, groups of alternatives and question marks."""
+
+    def alternatives(k):
+        done, now = [], [""]
+        while k < len(regex) and regex[k] != ")":
+            if regex.startswith("(?:", k):
+                inner, k = alternatives(k + 3)
+                k += 1
+            elif regex[k] == "|":
+                done, now, k = done + now, [""], k + 1
+                continue
+            else:
+                inner, k = [regex[k]], k + 1
+            if k < len(regex) and regex[k] == "?":
+                inner, k = [*inner, ""], k + 1
+            now = [x + y for x in now for y in inner]
+        return done + now, k
+
+    return alternatives(0)[0]
+
+
+def test_every_match_of_a_license_rule_holds_its_keyword():
     for r in licenses.rules():
-        assert r.keyword in r.regex.split() or r.keyword in r.regex, r
+        texts = expanded(r.regex)
+        assert all(r.keyword in t.split() for t in texts), r
+        assert max(len(t.split()) for t in texts) <= licenses.longest()
 
 
 def test_resampling_keeps_good_and_drops_junk(spark):
@@ -242,6 +305,48 @@ def test_resampling_keeps_good_and_drops_junk(spark):
     assert resampling.resample(spark, table.limit(0), labels).collect() == []
 
 
+def plain_ngrams(text):
+    from isoreach.llm.textcore import mix, word_hashes
+
+    tokens = resampling._TOKEN.findall(text.encode().lower())
+    h = word_hashes(tokens).tolist()
+    marked = [int(resampling._AGAIN) if k and h[k] == h[k - 1] else h[k] for k in range(len(h))]
+    one = [int(mix(np.array([x], dtype=np.uint64))[0]) % resampling.BUCKETS for x in marked]
+    two = [int(mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % 2**64], dtype=np.uint64))[0]) % resampling.BUCKETS for a, b in zip(marked, marked[1:], strict=False)]
+    return one + two
+
+
+def test_resampling_equals_brute_force(spark):
+    texts = {k: " ".join(words(k, 30 + k, 200) + (["ha"] * 9 if k % 3 else [])) for k in range(60)} | {60: "", 61: None, 62: "again and again"}
+    labels = {k: int(k % 3 == 0) for k in range(0, 60, 2)}
+    table = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string").repartition(4)
+    marked = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    got = {r.doc_id: r for r in resampling.resample(spark, table, marked).collect()}
+    halves = {r.doc_id: r.h for r in marked.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(resampling.SEED)), F.lit(2)).alias("h")).collect()}
+    grams = {k: plain_ngrams(t) if t else [] for k, t in texts.items()}
+    raw, good = np.zeros(resampling.BUCKETS), np.zeros(resampling.BUCKETS)
+    for k, g in grams.items():
+        for b in g:
+            raw[b] += 1
+            good[b] += labels.get(k) == 1 and halves[k] == 0
+    p = (raw + 1) / (raw.sum() + resampling.BUCKETS)
+    q = (good + resampling.BUCKETS * p) / (good.sum() + resampling.BUCKETS)
+    weight = {k: sum(np.log(q[b] / p[b]) for b in g) if g else resampling.NOTHING for k, g in grams.items()}
+    assert {k: r.log_weight for k, r in got.items()} == {k: pytest.approx(w, abs=1e-5) for k, w in weight.items()}
+    noise = dict(zip(texts, resampling.gumbel(list(texts), resampling.SEED), strict=True))
+    cut = resampling.best_cut(np.array([weight[k] for k, v in labels.items() if v and halves[k] == 1]), np.array([weight[k] for k, v in labels.items() if not v]))
+    n = sum(w > cut for w in weight.values())
+    assert 0 < n < len(texts)
+    assert {k for k, r in got.items() if r.kept} == set(sorted(texts, key=lambda k: -(weight[k] + noise[k]))[:n])
+
+
+def test_resampling_of_ties_and_repeated_rows(spark):
+    rows = [(1, "good words here")] * 4 + [(2, "bad !! bad !!")] * 3 + [(3, "good words here")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = resampling.resample(spark, table, spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")).collect()
+    assert len(got) == 8 and len({(r.doc_id, r.log_weight, r.sample_key, r.kept) for r in got}) == 3
+
+
 def test_kth_largest(spark):
     values = [0.5, 2.0, 2.0, -1.0, 7.25, 3.0]
     keys = spark.createDataFrame([(v,) for v in values], "k double")
@@ -249,37 +354,78 @@ def test_kth_largest(spark):
     assert resampling.kth_largest(spark.createDataFrame([(1.0,)] * 9, "k double"), "k", 5) == 1.0
 
 
-def test_masked_lm_beats_frequencies_on_held_out_text(spark, monkeypatch):
-    monkeypatch.setattr(maskedlm, "STRIDE", 1)  # a small table: every position is a target
-    r = random.Random(4)
+def pairs_of_words(r, n):  # every second word is fixed by its neighbours
+    out = []
+    for _ in range(n):
+        w = r.randrange(12)
+        out += [f"a{w}", f"b{w}"]
+    return " ".join(out)
 
-    def text(k):  # every second word is fixed by its neighbours
-        out = []
-        for _ in range(120):
-            w = r.randrange(12)
-            out += [f"a{w}", f"b{w}"]
-        return (k, " ".join(out), "en", "s", 1)
-
-    table = spark.createDataFrame([text(k) for k in range(400)] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0)], SCHEMA)
-    train = table.where("doc_id < 300").select("doc_id", "text").coalesce(1)
-    vocabulary, counts = maskedlm.learn_vocabulary(train.select("text"))
-    flat = maskedlm.fit(train.mapInArrow(maskedlm._encode(vocabulary), "doc_id long, ids binary").select("ids"), counts)
-    held = [x.text.encode() for x in table.where("doc_id between 300 and 399").collect()]
-    padded, place, sizes = maskedlm.laid_out(maskedlm.encode(held, vocabulary))
-    got = maskedlm.log_probs(maskedlm.views(flat), padded, place)
-    assert got.mean() > -np.log(24) + 0.5  # the words are equally frequent
-    out = {x.doc_id: x for x in maskedlm.pseudo_likelihood(spark, table).collect()}
-    assert out[900].n_tokens == 0 and out[901].log_likelihood == 0.0 and out[901].mean_log_prob is None and out[5].n_tokens == 240
+
+def plain_score(flat, vocabulary, text):
+    """The log-probability of each token, by loops."""
+    m = {k: v.astype(np.float64) for k, v in maskedlm.views(flat).items()}
+    (ids,) = maskedlm.encode([text.encode()], vocabulary)
+    total = 0.0
+    for at, token in enumerate(ids.tolist()):
+        x = m["bias"].copy()
+        for o, table in zip(maskedlm.OFFSETS, maskedlm.TABLE, strict=True):
+            beside = ids[at + o] if 0 <= at + o < len(ids) else maskedlm.VOCAB
+            x += m["emb"][table][beside]
+        h = np.append(np.tanh(x), 1.0)
+        z, y = h @ m["cw"], h @ m["tw"][token % maskedlm.CLUSTERS]
+        total += z[token % maskedlm.CLUSTERS] - np.log(np.exp(z).sum()) + y[token // maskedlm.CLUSTERS] - np.log(np.exp(y).sum())
+    return total
+
+
+def test_masked_lm_at_its_settings_equals_brute_force_and_beats_frequencies(spark):
+    r = random.Random(4)
+    table = spark.createDataFrame([(k, pairs_of_words(r, 120), "en", "s", 1) for k in range(400)] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0), (902, "a1 b1", "en", "s", 0), (902, "a1 b1", "en", "s", 0)], SCHEMA)
+    docs = table.select("doc_id", "text")
+    vocabulary, counts, total = maskedlm.learn_vocabulary(docs.where("doc_id < 300").select("text"))
+    assert total == 300 * 240 and len(counts) == 24
+    flat = maskedlm.fit(maskedlm.encoded(spark, docs.where("doc_id < 300"), vocabulary, total).select("shard", "ids"), counts, total)
+    held = [x.text for x in docs.where("doc_id between 300 and 399").collect()]
+    got = [plain_score(flat, vocabulary, t) for t in held[:5]]
+    padded, place, sizes = maskedlm.laid_out(maskedlm.encode([t.encode() for t in held], vocabulary))
+    fast = maskedlm.log_probs(maskedlm.views(flat), padded, place)
+    assert [fast[240 * k : 240 * (k + 1)].sum() for k in range(5)] == [pytest.approx(x, abs=1e-2) for x in got]
+    assert fast.mean() > -np.log(24) + 0.5  # the words are equally frequent
+    out = [x for x in maskedlm.pseudo_likelihood(spark, table).collect()]
+    by = {x.doc_id: x for x in out}
+    assert len(out) == 404 and by[900].n_tokens == 0 and by[901].log_likelihood == 0.0 and by[901].mean_log_prob is None and by[5].n_tokens == 240
+    assert len({x.log_likelihood for x in out if x.doc_id == 902}) == 1
     assert maskedlm.pseudo_likelihood(spark, table.limit(0)).collect() == []
 
 
+def test_masked_lm_doesnt_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(maskedlm, "SHARD", 5_000)  # several shards of a small table
+    r = random.Random(9)
+    table = spark.createDataFrame([(k, pairs_of_words(r, 40), "en", "s", 1) for k in range(200)], SCHEMA)
+    a, b = ({x.doc_id: x.log_likelihood for x in maskedlm.pseudo_likelihood(spark, table.repartition(n)).collect()} for n in (1, 7))
+    assert a == {k: pytest.approx(v, abs=0.05) for k, v in b.items()}
+
+
+def test_masked_lm_trains_every_position_once():
+    ids = [np.arange(k, k + 50, dtype=np.int16) for k in range(40)]
+    seen = []
+    for turn in range(maskedlm.ROUNDS):
+        t = maskedlm.Trainer(maskedlm.initial(np.ones(100), 100), turn)
+        t.feed(ids[:20])
+        t.feed(ids[20:], last=True)
+        seen.append(t.seen)
+    assert sum(seen) == 40 * 50 and min(seen) > 0
+
+
 def test_masked_lm_probabilities_add_up_to_one():
-    flat = np.random.default_rng(1).standard_normal(maskedlm.SIZE).astype(np.float32)
+    flat = np.random.default_rng(1).standard_normal(maskedlm.SIZE).astype(np.float32) * 0.3
     m = maskedlm.views(flat)
+    r = maskedlm.REACH
     total = 0.0
-    for token in range(maskedlm.VOCAB):
-        padded = np.array([maskedlm.VOCAB, maskedlm.VOCAB, 3, token, 9, maskedlm.VOCAB, maskedlm.VOCAB])
-        total += float(np.exp(maskedlm.log_probs(m, padded, np.array([3]))[0]))
+    for token in range(0, maskedlm.VOCAB):
+        padded = np.full(2 * r + 3, maskedlm.VOCAB)
+        padded[r : r + 3] = 3, token, 9
+        total += float(np.exp(maskedlm.log_probs(m, padded, np.array([r + 1]))[0]))
     assert abs(total - 1) < 1e-3
 
 

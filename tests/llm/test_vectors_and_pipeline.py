@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from isoreach.llm import itq, packing, queries, resampling
 
@@ -11,12 +12,12 @@ SF = "/root/testdata/sf0.001"
 def brute(rows):
     ok = {}
     for i, v, label in rows:
-        if i is None or v is None or label is None or len(v) != 64:
+        if i is None or v is None or label is None:
             continue
         x = np.array([np.nan if e is None else e for e in v], dtype=float)
         if np.isfinite(x).all() and x.any():
             ok[i] = (x, label)
-    links = {i: {j for j in ok if j != i and ok[i][1] == ok[j][1] and ok[i][0] @ ok[j][0] / (np.linalg.norm(ok[i][0]) * np.linalg.norm(ok[j][0])) >= 0.93} for i in ok}
+    links = {i: {j for j in ok if j != i and ok[i][1] == ok[j][1] and len(ok[i][0]) == len(ok[j][0]) and ok[i][0] @ ok[j][0] / (np.linalg.norm(ok[i][0]) * np.linalg.norm(ok[j][0])) >= 0.93} for i in ok}
     comp = {r[0]: r[0] for r in rows}
     for _ in range(len(ok)):
         old = dict(comp)
@@ -50,6 +51,45 @@ def test_similar_vectors_reach_the_recall(spark):
     assert itq.similar_vectors(spark, table.limit(0)).collect() == []
 
 
+def planted(r, n, cosine, dim=64):
+    """n pairs of vectors at just that cosine."""
+    x = r.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = r.standard_normal((n, dim))
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * u
+
+
+def test_recall_at_the_threshold_and_near_linear_buckets(spark):
+    r = np.random.default_rng(3)
+    x, y = planted(r, 1500, 0.9301)
+    rows = [(k, v.tolist(), "one") for k, v in enumerate(np.concatenate([x, y]))]
+    got = itq.similar_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert sum(g.n_links for g in got) >= 0.9 * len(rows)
+    assert all(g.component_id == min(g.vec_id, (g.vec_id + 1500) % 3000) for g in got if g.n_links)
+
+
+def test_labels_of_any_type_and_lengths_are_kept_apart(spark):
+    v, short = [1.0] * 64, [1.0] * 32
+    near = [1.0] * 63 + [1.1]
+    rows = [(1, v, 7), (2, near, 7 + 2**46), (3, near, 7), (4, short, 7), (5, short, 7), (6, [0.9] * 31 + [1.0], 7), (7, v, None), (8, v, 8), (9, [1e150] * 64, 8), (10, [], 7)]
+    want = brute(rows)
+    got = {x.vec_id: (x.n_links, x.component_id) for x in itq.similar_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).collect()}
+    assert got == want and got[4] == (2, 4) and got[2] == (0, 2)
+    words = spark.createDataFrame([(i, e, None if k is None else f"label {k}") for i, e, k in rows], "vec_id long, embedding array<double>, label string")
+    assert {x.vec_id: (x.n_links, x.component_id) for x in itq.similar_vectors(spark, words).collect()} == want
+
+
+def test_repeated_ids_and_clashing_names(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [0.0, 1.0], "a"), (2, [1.0, 0.01], "a"), (2, [1.0, 0.01], "a"), (None, [1.0, 0.0], "a")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    for c in ("uid", "grp", "vector", "bucket", "n_links", "wide", "node", "copies"):
+        table = table.withColumn(c, F.lit("x"))
+    got = sorted((x.vec_id or 0, x.n_links, x.component_id or 0) for x in itq.similar_vectors(spark, table).collect())
+    assert got == [(0, 0, 0), (1, 0, 1), (1, 2, 1), (2, 2, 1), (2, 2, 1)]
+
+
 def test_blocks_beyond_the_size_give_the_same_links(spark, monkeypatch):
     r = np.random.default_rng(1)
     centre = r.standard_normal(64)
