@@ -15,6 +15,8 @@ key, then inside one range, so that no task sorts a hot source.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +73,12 @@ def budget_sql(leaves: str, weights: dict[str, int], percent: int, epochs: int)
 
 def leaf_budgets(spark: SparkSession, leaves: DataFrame, weights: dict[str, int] | None = None, percent: int = PERCENT, epochs: int = EPOCHS) -> DataFrame:
     """leaves (domain, lang, source, supply) -> domain, lang, source, budget."""
-    leaves.createOrReplaceTempView("isoreach_mix_leaves")
-    text = budget_sql("isoreach_mix_leaves", weights or WEIGHTS, percent, epochs)
-    return spark.sql(text.replace("//", "div"))
+    name = f"isoreach_mix_{uuid.uuid4().hex}"  # a name of its own, so that calls in one session don't meet
+    leaves.createTempView(name)
+    try:
+        return spark.sql(budget_sql(name, weights or WEIGHTS, percent, epochs).replace("//", "div"))
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def _order_key(seed: int, epoch: Column, doc: Column) -> Column:
