@@ -26,7 +26,7 @@ def decode(raw: DataFrame, books: DataFrame, columns: list[str]) -> DataFrame:
     """raw (year, columns of codes) with each column's category; negative codes and codes listed without a value are null."""
     out = raw
     for c in columns:
-        book = F.broadcast(books.where(F.col("column") == c).select(F.col("year").alias("_y"), F.col("code").alias("_c"), F.col("value").alias(f"{c}_cat")))
+        book = books.where(F.col("column") == c).select(F.col("year").alias("_y"), F.col("code").alias("_c"), F.col("value").alias(f"{c}_cat"))
         out = out.join(book, (F.col("year") == F.col("_y")) & (F.col(c) == F.col("_c")), "left").drop("_y", "_c")
     return out
 

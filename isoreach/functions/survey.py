@@ -217,3 +217,8 @@ def file_name(name: str, leg_set: str) -> str:
         return name.replace("survey_leg", "survey_trip")
     stem, _, ending = name.rpartition(".")
     return f"{stem}_{leg_set}.{ending}"
+
+
+def normalised_density(density: Column) -> Column:
+    """Square root of a density over 10,000, which brings dense and sparse places nearer."""
+    return F.sqrt(density / 10_000.0)

@@ -29,7 +29,7 @@ def allocate(buildings: DataFrame, cells: DataFrame, intensities: DataFrame, fal
     the nearest building of a known tag within `fallback` of its centre; buildings
     that get nothing are left out.  Returns building_id, value.
     """
-    known = buildings.join(F.broadcast(intensities.where("intensity is not null")), "tag")
+    known = buildings.join(intensities.where("intensity is not null"), "tag")
     parts = overlay_boxes(known, cells, grid, BOX, CELL_BOX).withColumn("_pred", F.col("intensity") * F.col("overlap_area"))
     total = F.sum("_pred").over(Window.partitionBy("cell_id"))
     shares = parts.withColumn("_value", F.when(total > 0, F.col("_pred") / total * F.col("total")).otherwise(F.lit(0.0)))
@@ -48,7 +48,7 @@ def allocate(buildings: DataFrame, cells: DataFrame, intensities: DataFrame, fal
 def apply_intensities(buildings: DataFrame, intensities: DataFrame, digits: int | None = 2) -> DataFrame:
     """Bottom-up: intensity times area, rounded half to even; a null intensity gives 0, an unknown tag no row."""
     value = F.coalesce(F.col("intensity"), F.lit(0.0)) * F.col("area")
-    return buildings.join(F.broadcast(intensities), "tag").withColumn("value", value if digits is None else F.bround(value, digits)).drop("intensity")
+    return buildings.join(intensities, "tag").withColumn("value", value if digits is None else F.bround(value, digits)).drop("intensity")
 
 
 def split_in_proportion(points: DataFrame, key: str, parents: DataFrame, parent_key: str, value: str) -> DataFrame:

@@ -328,6 +328,23 @@ def test_destination_sample(spark, rows):
     assert all(abs(seen[b] - expected[b]) < 0.12 * max(expected[b], 60) for b in seen)
 
 
+def test_consolidated_nodes(spark, rows):
+    place = {c["cell_id"]: (c["x"], c["y"]) for c in domain(rows, "cells")}
+    root = {k: k for k in place}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for u in place:
+        v = u * 7 % 97
+        if u != v and v in place and math.dist(place[u], place[v]) <= 300:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    assert {r.node_id: r.cluster for r in run(spark, "n7_consolidation")} == {k: find(k) for k in place}
+
+
 SPEEDS = {"walk": (2.0, 8.0), "car": (5.0, 130.0), "transit": (None, None)}
 
 
@@ -364,5 +381,5 @@ def test_trips(spark, rows):
 
 
 def test_every_query_without_sql_has_a_plain_version():
-    checked = {"j16_counters", "n15_projected_nodes", "n9_sidepaths", "r4_path_metrics", "r5_betweenness", "h8_path_features", "n5_chain_collapse", "w9_smoothing", "n14_simplification", "e2_poisson", "e3_median_regression", "e4_huber", "e5_interval_em", "e9_multinomial_logit", "e9_nested_logit", "e7_spec_grid", "d4_nnls_intensities", "x1_weighted_sample", "x2_destination_sample", "t2_trips"}
+    checked = {"n7_consolidation", "j16_counters", "n15_projected_nodes", "n9_sidepaths", "r4_path_metrics", "r5_betweenness", "h8_path_features", "n5_chain_collapse", "w9_smoothing", "n14_simplification", "e2_poisson", "e3_median_regression", "e4_huber", "e5_interval_em", "e9_multinomial_logit", "e9_nested_logit", "e7_spec_grid", "d4_nnls_intensities", "x1_weighted_sample", "x2_destination_sample", "t2_trips"}
     assert {k for k, (_, sql) in REGISTRY.items() if not sql} <= checked
