@@ -316,13 +316,10 @@ def plain_ngrams(text):
     return one + two
 
 
-def test_resampling_equals_brute_force(spark):
-    texts = {k: " ".join(words(k, 30 + k, 200) + (["ha"] * 9 if k % 3 else [])) for k in range(60)} | {60: "", 61: None, 62: "again and again"}
-    labels = {k: int(k % 3 == 0) for k in range(0, 60, 2)}
-    table = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string").repartition(4)
-    marked = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
-    got = {r.doc_id: r for r in resampling.resample(spark, table, marked).collect()}
-    halves = {r.doc_id: r.h for r in marked.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(resampling.SEED)), F.lit(2)).alias("h")).collect()}
+def plain_resampling(spark, texts, labels):
+    """(log weight of each document, the ids that are kept), by loops over the documents."""
+    ids = spark.createDataFrame([(k,) for k in labels], "doc_id long")
+    halves = {r.doc_id: r.h for r in ids.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(resampling.SEED)), F.lit(2)).alias("h")).collect()}
     grams = {k: plain_ngrams(t) if t else [] for k, t in texts.items()}
     raw, good = np.zeros(resampling.BUCKETS), np.zeros(resampling.BUCKETS)
     for k, g in grams.items():
@@ -332,12 +329,20 @@ def test_resampling_equals_brute_force(spark):
     p = (raw + 1) / (raw.sum() + resampling.BUCKETS)
     q = (good + resampling.BUCKETS * p) / (good.sum() + resampling.BUCKETS)
     weight = {k: sum(np.log(q[b] / p[b]) for b in g) if g else resampling.NOTHING for k, g in grams.items()}
-    assert {k: r.log_weight for k, r in got.items()} == {k: pytest.approx(w, abs=1e-5) for k, w in weight.items()}
     noise = dict(zip(texts, resampling.gumbel(list(texts), resampling.SEED), strict=True))
-    cut = resampling.best_cut(np.array([weight[k] for k, v in labels.items() if v and halves[k] == 1]), np.array([weight[k] for k, v in labels.items() if not v]))
+    cut = resampling.best_cut(np.array([weight[k] for k, v in labels.items() if k in weight and v == 1 and halves[k] == 1]), np.array([weight[k] for k, v in labels.items() if k in weight and v == 0]))
     n = sum(w > cut for w in weight.values())
-    assert 0 < n < len(texts)
-    assert {k for k, r in got.items() if r.kept} == set(sorted(texts, key=lambda k: -(weight[k] + noise[k]))[:n])
+    return weight, set(sorted(texts, key=lambda k: -(weight[k] + noise[k]))[:n])
+
+
+def test_resampling_equals_brute_force(spark):
+    texts = {k: " ".join(words(k, 30 + k, 200) + (["ha"] * 9 if k % 3 else [])) for k in range(60)} | {60: "", 61: None, 62: "again and again"}
+    labels = {k: int(k % 3 == 0) for k in range(0, 60, 2)}
+    table = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in resampling.resample(spark, table, spark.createDataFrame(list(labels.items()), "doc_id long, quality int")).collect()}
+    weight, kept = plain_resampling(spark, texts, labels)
+    assert {k: r.log_weight for k, r in got.items()} == {k: pytest.approx(w, abs=1e-5) for k, w in weight.items()}
+    assert 0 < len(kept) < len(texts) and {k for k, r in got.items() if r.kept} == kept
 
 
 def test_resampling_of_ties_and_repeated_rows(spark):

@@ -1,10 +1,18 @@
 """Embedding near-dedup against brute force, and the pipeline against plain stages."""
 
+import zlib
+from collections import Counter
+
+import duckdb
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from isoreach.llm import itq, packing, queries, resampling
+from isoreach.llm import itq, mixing, packing, queries
+from tests.llm.test_text_operators import brute_components, plain_resampling
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,8 +124,9 @@ def test_pipeline_equals_its_stages_in_plain_python(spark):
     assert len(names) == 5
     stage = dict(corpus_pipeline.STAGES)
     good = stage[names[0]](spark, docs, SF)
-    verdict = {r.doc_id: r.kept for r in resampling.resample(spark, docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()}
-    assert {r.doc_id for r in good.collect()} == {i for i, kept in verdict.items() if kept}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert {r.doc_id for r in good.collect()} == plain_resampling(spark, texts, labels)[1]
     clean = stage[names[1]](spark, good, SF)
     assert clean.columns == docs.columns and clean.count() == good.count()
     pages = {}
@@ -134,14 +143,28 @@ def test_pipeline_equals_its_stages_in_plain_python(spark):
             want[r.doc_id] = "\n".join(x for x in r.text.split("\n") if x not in gone)
     assert {r.doc_id: r.text for r in clean.collect()} == want
     single = stage[names[2]](spark, clean, SF)
-    from tests.llm.test_text_operators import brute_components
-
     comp = brute_components(list(want.items()))
     assert {r.doc_id for r in single.collect()} == {i for i, (_, c) in comp.items() if c == i}
     mixed = stage[names[3]](spark, single, SF)
-    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in single.collect()}
+    assert mixed.columns == docs.columns
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([r.asDict() for r in single.collect()]))
+    drawn = sorted(r[0] for r in con.sql(f"select doc_id from ({mixing.sql()})").fetchall())
+    assert drawn and sorted(r.doc_id for r in mixed.collect()) == drawn
     pieces = stage[names[4]](spark, mixed, SF).collect()
-    assert sum(p.start == 0 for p in pieces) == mixed.count()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    whole, at = {}, {}
+    for p in pieces:
+        whole.setdefault(p.doc_id, Counter())[p.start, p.length, p.ids_crc32] += 1
+        at.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for i, own in whole.items():
+        ids = np.array(tokenizer.encode(want[i] or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        times = drawn.count(i)
+        assert all(n % times == 0 or times > 1 for n in own.values()) and sum(n * length for (_, length, _), n in own.items()) == times * len(ids)
+        assert all(crc == zlib.crc32(ids[start : start + length].tobytes()) for start, length, crc in own)
+    assert set(whole) == set(drawn) and all(sum(n for _, n in own) <= packing.WINDOW for own in at.values())
+    for own in at.values():  # gapless from 0
+        assert sorted(own) == [(sum(n for _, n in sorted(own)[:k]), n) for k, (_, n) in enumerate(sorted(own))]
     run = corpus_pipeline.run(spark, SF).collect()
     assert sorted((p.doc_id, p.start, p.ids_crc32) for p in run) == sorted((p.doc_id, p.start, p.ids_crc32) for p in pieces)
 
