@@ -47,9 +47,10 @@ SHARD = 1_000_000
 #: Parameters in a slice, and the sums of the first level.
 SLICE, SUMS = 1 << 14, 8
 #: Largest weights: a sum of 16 weights and a bias stays below 85, which exp() can take.
-BOUND = {"emb": 20.0, "bias": 20.0, "cw": 4.0, "cb": 20.0, "tw": 4.0, "tb": 20.0}
+BOUND, BIAS_BOUND = 4.0, 20.0
 
-_SHAPES = {"emb": (max(TABLE) + 1, VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN, CLUSTERS), "cb": (CLUSTERS,), "tw": (CLUSTERS, HIDDEN, WIDTH), "tb": (CLUSTERS, WIDTH)}
+#: cw and tw have a last row for the bias, which the last hidden unit, always one, brings in.
+_SHAPES = {"emb": (max(TABLE) + 1, VOCAB + 1, HIDDEN), "bias": (HIDDEN,), "cw": (HIDDEN + 1, CLUSTERS), "tw": (CLUSTERS, HIDDEN + 1, WIDTH)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
 
 
@@ -117,18 +118,22 @@ def _stored(column: pa.Array) -> list[np.ndarray]:
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+    """In place; sums beyond what exp() can take are cut off, which bounded weights never reach."""
+    np.minimum(z, 80.0, out=z)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
     return z
 
 
 def hidden(m: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
+    """The hidden layer, with a last unit that is always one."""
     x = m["emb"][TABLE[0]].take(context[0], axis=0)
     for k in range(1, len(OFFSETS)):
         x += m["emb"][TABLE[k]].take(context[k], axis=0)
     x += m["bias"]
-    return np.tanh(x, out=x)
+    out = np.ones((len(x), HIDDEN + 1), dtype=np.float32)
+    np.tanh(x, out=out[:, :HIDDEN])
+    return out
 
 
 def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -144,7 +149,7 @@ def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -
         order = np.argsort(cluster, kind="stable")  # tokens by cluster: each cluster's rows lie together
         p, t, cluster = p[order], t[order], cluster[order]
         h = hidden(m, np.stack([padded[p + o] for o in OFFSETS]))
-        z = h @ m["cw"] + m["cb"]
+        z = h @ m["cw"]
         rows = np.arange(len(p))
         got = z[rows, cluster] - np.log(np.exp(z, out=z.copy()).sum(axis=1))
         w = t // CLUSTERS
@@ -152,7 +157,7 @@ def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -
         for k in range(CLUSTERS):
             a, b = ends[k], ends[k + 1]
             if a < b:
-                y = h[a:b] @ m["tw"][k] + m["tb"][k]
+                y = h[a:b] @ m["tw"][k]
                 got[a:b] += y[rows[: b - a], w[a:b]]
                 got[a:b] -= np.log(np.exp(y, out=y).sum(axis=1))
         out[lo + order] = got
@@ -166,35 +171,35 @@ def _descend(w: np.ndarray, g2: np.ndarray, g: np.ndarray, at=slice(None)) -> No
 
 
 def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
-    """One step on a minibatch; only the rows that it touches are changed."""
-    n = np.float32(len(target))
+    """One step on a minibatch; of the embeddings only the rows that it touches are changed."""
+    n, rows = np.float32(len(target)), np.arange(len(target))
+    c = (target % CLUSTERS).astype(np.uint8)
+    order = np.argsort(c, kind="stable")  # as in log_probs
+    c, w, context = c[order], target[order] // CLUSTERS, context[:, order]
+    ends = np.searchsorted(c, np.arange(CLUSTERS + 1)).tolist()
     h = hidden(m, context)
-    c, w = target % CLUSTERS, target // CLUSTERS
-    rows = np.arange(len(target))
-    d = _softmax(h @ m["cw"] + m["cb"])
+    d = _softmax(h @ m["cw"])
     d[rows, c] -= 1
     dh = d @ m["cw"].T
     _descend(m["cw"], g2["cw"], h.T @ d / n)
-    _descend(m["cb"], g2["cb"], d.sum(axis=0) / n)
-    order = np.argsort(c.astype(np.uint8), kind="stable")
-    ends = np.searchsorted(c[order], np.arange(CLUSTERS + 1))
-    hs, ws, back = h[order], w[order], np.empty_like(h)
-    for k in range(CLUSTERS):
-        lo, hi = ends[k], ends[k + 1]
-        if lo < hi:
-            d = _softmax(hs[lo:hi] @ m["tw"][k] + m["tb"][k])
-            d[rows[: hi - lo], ws[lo:hi]] -= 1
-            back[lo:hi] = d @ m["tw"][k].T
-            _descend(m["tw"], g2["tw"], hs[lo:hi].T @ d / n, k)
-            _descend(m["tb"], g2["tb"], d.sum(axis=0) / n, k)
-    dh[order] += back
-    dx = dh * (1 - h * h)
+    d, g = np.empty((len(target), WIDTH), dtype=np.float32), np.zeros(_SHAPES["tw"], dtype=np.float32)
+    some = [(k, ends[k], ends[k + 1]) for k in range(CLUSTERS) if ends[k] < ends[k + 1]]
+    for k, lo, hi in some:
+        np.matmul(h[lo:hi], m["tw"][k], out=d[lo:hi])
+    _softmax(d)
+    d[rows, w] -= 1
+    for k, lo, hi in some:
+        np.matmul(h[lo:hi].T, d[lo:hi], out=g[k])
+        dh[lo:hi] += d[lo:hi] @ m["tw"][k].T
+    g /= n
+    _descend(m["tw"], g2["tw"], g)
+    dx = dh[:, :HIDDEN] * (1 - h[:, :HIDDEN] * h[:, :HIDDEN])
     dx /= n
     _descend(m["bias"], g2["bias"], dx.sum(axis=0))
     for table in range(max(TABLE) + 1):
         own = [k for k in range(len(OFFSETS)) if TABLE[k] == table]
-        ids = context[own].reshape(-1)
-        by = np.argsort(ids.astype(np.int16), kind="stable")
+        ids = context[own].reshape(-1).astype(np.int16)
+        by = np.argsort(ids, kind="stable")
         ids = ids[by]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         _descend(m["emb"][table], g2["emb"][table], np.add.reduceat(dx[by % len(target)], starts, axis=0), ids[starts])
@@ -315,8 +320,8 @@ def initial(counts: np.ndarray, total: int) -> np.ndarray:
     freq[: len(counts)] = counts
     freq[VOCAB - SHARED :] = max(1.0, (total - counts.sum()) / SHARED)
     grid = freq.reshape(WIDTH, CLUSTERS).T
-    m["cb"][:] = np.log(grid.sum(axis=1) / freq.sum())
-    m["tb"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
+    m["cw"][-1] = np.log(grid.sum(axis=1) / freq.sum())
+    m["tw"][:, -1] = np.log(grid / grid.sum(axis=1, keepdims=True))
     return flat
 
 
@@ -329,8 +334,9 @@ def fit(stored: DataFrame, counts: np.ndarray, total: int) -> np.ndarray:
         if not rows:
             break
         flat = np.round(np.concatenate([np.frombuffer(rows[k], dtype=np.float32) for k in sorted(rows)]), 5)
-        for name, part in views(flat).items():
-            np.clip(part, -BOUND[name], BOUND[name], out=part)
+        m = views(flat)
+        for part, bound in ((m["emb"], BIAS_BOUND), (m["bias"], BIAS_BOUND), (m["cw"][:-1], BOUND), (m["cw"][-1:], BIAS_BOUND), (m["tw"][:, :-1], BOUND), (m["tw"][:, -1:], BIAS_BOUND)):
+            np.clip(part, -bound, bound, out=part)
     return flat
 
 
