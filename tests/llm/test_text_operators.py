@@ -411,13 +411,36 @@ def test_masked_lm_doesnt_depend_on_partitions(spark, monkeypatch):
     assert a == {k: pytest.approx(v, abs=0.05) for k, v in b.items()}
 
 
+def test_masked_lm_steps_follow_the_slope():
+    """A step's change of the embeddings has the sign of the slope of the mean log-probability, by differences."""
+    r = np.random.default_rng(2)
+    padded, place, _ = maskedlm.laid_out([r.integers(0, 40, 30).astype(np.int16) for _ in range(3)])
+    flat = maskedlm.initial(np.ones(40), 40)
+    m, g2 = maskedlm.views(flat), {k: np.full(s, 1e-4, dtype=np.float32) for k, s in maskedlm._SHAPES.items()}
+    before = flat.copy()
+    part = place[5:60]
+    maskedlm.step(m, g2, padded, part)
+    checked = 0
+    for table in range(max(maskedlm.TABLE) + 1):
+        for token in range(0, 40, 3):
+            moved = (maskedlm.views(flat)["emb"] - maskedlm.views(before)["emb"])[table, token, 0]
+            up, down = before.copy(), before.copy()
+            maskedlm.views(up)["emb"][table, token, 0] += 0.05
+            maskedlm.views(down)["emb"][table, token, 0] -= 0.05
+            slope = (maskedlm.log_probs(maskedlm.views(up), padded, part).mean() - maskedlm.log_probs(maskedlm.views(down), padded, part).mean()) / 0.1
+            if abs(slope) > 2e-5:
+                assert np.sign(moved) == np.sign(slope)
+                checked += 1
+    assert checked > 20
+
+
 def test_masked_lm_trains_every_position_once():
     ids = [np.arange(k, k + 50, dtype=np.int16) for k in range(40)]
     seen = []
     for turn in range(maskedlm.ROUNDS):
         t = maskedlm.Trainer(maskedlm.initial(np.ones(100), 100), turn)
         t.feed(ids[:20])
-        t.feed(ids[20:], last=True)
+        t.feed(ids[20:])
         seen.append(t.seen)
     assert sum(seen) == 40 * 50 and min(seen) > 0
 
