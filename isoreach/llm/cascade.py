@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoreach.llm.runtime import ship
+from isoreach.llm.runtime import ship, smallest_hashes
 from isoreach.llm.textcore import batches, raw
 
 SYMBOLS = b"#*$%&|<>"
@@ -193,7 +193,7 @@ def judge(spark: SparkSession, documents: DataFrame, id_col: str = "doc_id", tex
     """
     ship(spark)
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = docs.orderBy(F.xxhash64("doc_id", F.lit(SAMPLE_ROWS)), "doc_id").limit(SAMPLE_ROWS).mapInArrow(_estimates, "name string, cost double, rejected long, n long")  # the texts stay on an executor
+    sample = smallest_hashes(docs, "doc_id", SAMPLE_ROWS).mapInArrow(_estimates, "name string, cost double, rejected long, n long")  # the texts stay on an executor
     seen: dict[str, list[float]] = {r.name: [0.0, 0, 0] for r in RULES}
     for r in sample.collect():
         seen[r.name] = [x + y for x, y in zip(seen[r.name], (r.cost * r.n, r.rejected, r.n), strict=True)]

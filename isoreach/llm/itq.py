@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from isoreach.llm.blocks import dealt, forest, runs
 from isoreach.llm.components import components
-from isoreach.llm.runtime import release, ship, stash
+from isoreach.llm.runtime import release, ship, smallest_hashes, stash
 from isoreach.llm.textcore import U64, batches, mix, signed
 
 SIMILAR = 0.93
@@ -256,7 +256,7 @@ def _models(nodes: DataFrame) -> tuple[dict[int, Model], dict[tuple[int, int], i
         widths.setdefault(r.dim, []).append(r.wide)
     for dim, used in widths.items():
         rows = min(SAMPLE, max(2, SAMPLE_BYTES // (8 * dim)))
-        sample = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64("uid"), "uid").limit(rows).select("vector").toPandas()["vector"]
+        sample = smallest_hashes(nodes.where(F.col("dim") == dim).select("uid", "vector"), "uid", rows).toPandas()["vector"]
         x = unit_vectors(np.array(sample.tolist(), dtype=np.float64).reshape(-1, dim))
         models[dim] = Model(*learn(x))
         for width in used:

@@ -15,6 +15,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent.parent
 LOCAL_SHARED = "/tmp/checkpoints/isoreach"
@@ -58,6 +59,17 @@ def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def smallest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of the smallest hashes of a key, about `rows` of them at most: a sample that doesn't depend on partitions.
+
+    A cut by the number of all rows comes first, with twice what is wanted below
+    it, so that what tasks hand on doesn't grow with their number.
+    """
+    share = min(1.0, 2.0 * rows / max(1, df.count()))
+    u = F.pmod(F.xxhash64(key, F.lit(rows)), F.lit(1 << 40)) / float(1 << 40)
+    return df.where(u < share).orderBy(u, key).limit(rows)
+
+
 def release(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete stashed tables that no later step reads."""
     for df in frames:
