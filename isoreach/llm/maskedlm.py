@@ -38,15 +38,15 @@ VOCAB = CLUSTERS * WIDTH
 OFFSETS = (-2, -1, 1, 2, -6, -5, -4, -3, 3, 4, 5, 6)
 TABLE = (0, 1, 2, 3, 4, 4, 4, 4, 4, 4, 4, 4)
 REACH = max(OFFSETS)
-HIDDEN = 16
+HIDDEN = 12
 #: Every position is a target in one of the rounds; minibatches grow from LEAST to MOST as a shard has seen more.
-ROUNDS, LEAST, MOST, RATE = 2, 128, 4096, 0.08
+ROUNDS, LEAST, MOST, RATE = 2, 128, 6144, 0.08
 SEED = 41
 #: Tokens of a shard, about.  Its file is one Parquet row group, so one task reads it as a whole.
 SHARD = 1_000_000
 #: Parameters in a slice, and the sums of the first level.
 SLICE, SUMS = 1 << 14, 8
-#: Largest weights: a sum of 16 weights and a bias stays below 85, which exp() can take.
+#: Largest weights: a sum of 12 weights and a bias stays below 85, which exp() can take.
 BOUND, BIAS_BOUND = 4.0, 20.0
 
 #: cw and tw have a last row for the bias, which the last hidden unit, always one, brings in.
@@ -170,19 +170,28 @@ def _descend(w: np.ndarray, g2: np.ndarray, g: np.ndarray, at=slice(None)) -> No
     w[at] -= RATE * g / (np.sqrt(g2[at]) + 1e-6)
 
 
-def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
-    """One step on a minibatch; of the embeddings only the rows that it touches are changed."""
-    n, rows = np.float32(len(target)), np.arange(len(target))
+def _scatter(w: np.ndarray, g2: np.ndarray, ids: np.ndarray, g: np.ndarray) -> None:
+    """A step on the rows of w that ids name, by the sums of their gradients."""
+    by = np.argsort(ids, kind="stable")
+    ids = ids[by]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    _descend(w, g2, np.add.reduceat(g[by], starts, axis=0), ids[starts])
+
+
+def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -> None:
+    """One step on a minibatch, the tokens at rising places; of the embeddings only the rows that it touches are changed."""
+    n, rows = np.float32(len(place)), np.arange(len(place))
+    target = padded[place]
     c = (target % CLUSTERS).astype(np.uint8)
     order = np.argsort(c, kind="stable")  # as in log_probs
-    c, w, context = c[order], target[order] // CLUSTERS, context[:, order]
+    c, w, at = c[order], target[order] // CLUSTERS, place[order]
     ends = np.searchsorted(c, np.arange(CLUSTERS + 1)).tolist()
-    h = hidden(m, context)
+    h = hidden(m, np.stack([padded[at + o] for o in OFFSETS]))
     d = _softmax(h @ m["cw"])
     d[rows, c] -= 1
     dh = d @ m["cw"].T
     _descend(m["cw"], g2["cw"], h.T @ d / n)
-    d, g = np.empty((len(target), WIDTH), dtype=np.float32), np.zeros(_SHAPES["tw"], dtype=np.float32)
+    d, g = np.empty((len(place), WIDTH), dtype=np.float32), np.zeros(_SHAPES["tw"], dtype=np.float32)
     some = [(k, ends[k], ends[k + 1]) for k in range(CLUSTERS) if ends[k] < ends[k + 1]]
     for k, lo, hi in some:
         np.matmul(h[lo:hi], m["tw"][k], out=d[lo:hi])
@@ -196,13 +205,33 @@ def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], context: np.ndarra
     dx = dh[:, :HIDDEN] * (1 - h[:, :HIDDEN] * h[:, :HIDDEN])
     dx /= n
     _descend(m["bias"], g2["bias"], dx.sum(axis=0))
+    first = int(place[0]) - REACH
+    span = int(place[-1]) + REACH + 1 - first
+    ids = padded[first : first + span].astype(np.int16)
+    # the places that share a table add up to windows, which differences of running sums give for all places at once
+    running = np.zeros((span + 2 * REACH + 1, HIDDEN), dtype=np.float32)
+    running[at - first + REACH + 1] = dx
+    np.cumsum(running, axis=0, out=running)
     for table in range(max(TABLE) + 1):
-        own = [k for k in range(len(OFFSETS)) if TABLE[k] == table]
-        ids = context[own].reshape(-1).astype(np.int16)
-        by = np.argsort(ids, kind="stable")
-        ids = ids[by]
-        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        _descend(m["emb"][table], g2["emb"][table], np.add.reduceat(dx[by % len(target)], starts, axis=0), ids[starts])
+        own = [o for k, o in enumerate(OFFSETS) if TABLE[k] == table]
+        if len(own) == 1:
+            _scatter(m["emb"][table], g2["emb"][table], ids[at + own[0] - first], dx)
+            continue
+        total = np.zeros((span, HIDDEN), dtype=np.float32)
+        for lo, hi in _runs(own):  # a token at q is in the context, at offset o, of the place q - o
+            total += running[REACH + 1 - lo : REACH + 1 - lo + span] - running[REACH - hi : REACH - hi + span]
+        _scatter(m["emb"][table], g2["emb"][table], ids, total)
+
+
+def _runs(offsets: list[int]) -> list[tuple[int, int]]:
+    """(first, last) of the runs of neighbouring offsets."""
+    out: list[tuple[int, int]] = []
+    for o in sorted(offsets):
+        if out and out[-1][1] == o - 1:
+            out[-1] = (out[-1][0], o)
+        else:
+            out.append((o, o))
+    return out
 
 
 def _batch(seen: int) -> int:
@@ -215,23 +244,18 @@ class Trainer:
     def __init__(self, flat: np.ndarray, turn: int) -> None:
         self.model, self.turn, self.seen = flat.copy(), turn, 0
         self.m, self.g2 = views(self.model), {k: np.full(s, 1e-4, dtype=np.float32) for k, s in _SHAPES.items()}
-        self.context, self.target, self.waiting = [], [], 0
 
-    def feed(self, texts: list[np.ndarray], last: bool = False) -> None:
+    def feed(self, texts: list[np.ndarray]) -> None:
         padded, place, sizes = laid_out(texts)
         within = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         turns = mix(padded[place].astype(U64) * U64(0x9E3779B97F4A7C15) + within.astype(U64) * U64(7919)) % U64(ROUNDS)
-        masked = place[turns == U64(self.turn % ROUNDS)]
-        self.context.append(np.stack([padded[masked + o] for o in OFFSETS]))
-        self.target.append(padded[masked])
-        self.waiting += len(masked)
-        if self.waiting and (last or self.waiting >= _batch(self.seen)):
-            context, target, lo = np.concatenate(self.context, axis=1), np.concatenate(self.target), 0
-            while len(target) - lo >= (size := _batch(self.seen)) or (last and lo < len(target)):
-                step(self.m, self.g2, context[:, lo : lo + size], target[lo : lo + size])
-                self.seen += len(target[lo : lo + size])
-                lo += size
-            self.context, self.target, self.waiting = [context[:, lo:]], [target[lo:]], max(0, len(target) - lo)
+        masked, lo = place[turns == U64(self.turn % ROUNDS)], 0
+        while lo < len(masked):
+            size = _batch(self.seen)
+            part = masked[lo : lo + size if len(masked) - lo >= 1.5 * size else len(masked)]  # what is left over joins the last batch
+            step(self.m, self.g2, padded, part)
+            self.seen += len(part)
+            lo += len(part)
 
 
 def _train(flat: np.ndarray, turn: int):
@@ -243,7 +267,7 @@ def _train(flat: np.ndarray, turn: int):
 
         def close() -> None:
             nonlocal seen, trainer
-            trainer.feed(held, last=True)
+            trainer.feed(held)
             total[:] += trainer.model * float(trainer.seen)
             seen += trainer.seen
             trainer = Trainer(flat, turn)
