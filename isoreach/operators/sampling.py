@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isoreach.sources.store import stash
 
 #: Slices of the unit interval at most; a row that has all the weight is filed under all of them.
 SLICES = 1 << 20
@@ -77,26 +78,32 @@ def volume_ratio(edges: DataFrame, flows: DataFrame, scale: float, betas: list[f
     return out.withColumns({f"vc_beta_{b:.1f}": F.pow(F.least("vc", F.lit(most)), F.lit(b)) for b in betas}).drop("_e", "_f")
 
 
-def nested_sample(pairs: DataFrame, origin: str, dest: str, bin_: str, weight: str, target: dict[int, float], n: int, seed: int) -> DataFrame:
+def nested_sample(pairs: DataFrame, origin: str, dest: str, bin_: str, weight: str, target: dict[int, float], n: int, seed: int, members: DataFrame | None = None) -> DataFrame:
     """n destinations of each origin, drawn with replacement: a cost bin by its target share among the bins that the origin
     reaches, then a destination of the bin by weight.  Returns origin, dest, times.
 
     Draws are hashes of the origin, their number and the seed.  An origin's
     destinations are laid on the unit interval, bin by bin, and a draw takes the
-    one that it falls on, by the slice of the interval.
+    one that it falls on, by the slice of the interval; a slice has some eight
+    destinations.  With members (_unit, origin; spatial.once_a_place) the units
+    draw from the destinations of their origin, each for itself.
     """
     share = F.element_at(F.create_map(*[F.lit(x) for k, v in target.items() for x in (k, float(v))]), F.col(bin_))
     rows = pairs.select(origin, dest, F.col(bin_).alias("_b"), F.col(weight).cast("double").alias("_w"), share.alias("_t")).where("_w > 0 and _t > 0")
     rows = rows.groupBy(origin, dest, "_b").agg(F.sum("_w").alias("_w"), F.first("_t").alias("_t"))
-    per_bin = rows.groupBy(origin, "_b").agg(F.sum("_w").alias("_in"), F.first("_t").alias("_t"))
+    per_bin = rows.groupBy(origin, "_b").agg(F.sum("_w").alias("_in"), F.first("_t").alias("_t"), F.count("*").alias("_many"))
     over = Window.partitionBy(origin)
     laid = per_bin.withColumn("_all", F.sum("_t").over(over)).withColumn("_from", F.coalesce(F.sum("_t").over(over.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / F.col("_all"))
-    laid = laid.select(F.col(origin).alias("_o"), F.col("_b").alias("_lb"), "_in", "_from", (F.col("_t") / F.col("_all")).alias("_share"))
+    laid = laid.withColumn("_slices", F.greatest(F.lit(n), F.ceil(F.sum("_many").over(over) / 8)).cast("int"))
+    laid = stash(pairs.sparkSession, laid.select(F.col(origin).alias("_o"), F.col("_b").alias("_lb"), "_in", "_from", (F.col("_t") / F.col("_all")).alias("_share"), "_slices"), "sample-bins")
     rows = rows.join(laid, (F.col(origin) == F.col("_o")) & (F.col("_b") == F.col("_lb")))
     w = Window.partitionBy(origin, "_b").orderBy(dest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_hi", F.col("_from") + F.col("_share") * F.sum("_w").over(w) / F.col("_in")).withColumn("_lo", F.col("_hi") - F.col("_share") * F.col("_w") / F.col("_in"))
-    rows = rows.select(origin, dest, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") * n).cast("int"), F.least(F.floor(F.col("_hi") * n), F.lit(n - 1)).cast("int"))).alias("_slice"))
-    draws = rows.select(F.col(origin).alias("_do")).distinct().withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    draws = draws.withColumn("_u", uniform(F.concat_ws(":", "_do", "_k"), seed)).withColumn("_us", F.floor(F.col("_u") * n).cast("int"))
+    at = lambda c: F.floor(F.col(c) * F.col("_slices"))
+    rows = rows.select(origin, dest, "_lo", "_hi", F.explode(F.sequence(at("_lo").cast("int"), F.least(at("_hi"), F.col("_slices") - 1).cast("int"))).alias("_slice"))
+    origins = laid.select(F.col("_o").alias("_do"), "_slices").distinct()
+    units = origins.withColumn("_unit", F.col("_do")) if members is None else members.withColumnRenamed(origin, "_mo").join(origins, F.col("_mo") == F.col("_do")).select("_unit", "_do", "_slices")
+    draws = units.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    draws = draws.withColumn("_u", uniform(F.concat_ws(":", "_unit", "_k"), seed)).withColumn("_us", at("_u").cast("int")).drop("_slices", "_k")
     hit = draws.join(rows, (F.col("_do") == F.col(origin)) & (F.col("_us") == F.col("_slice"))).where((F.col("_u") > F.col("_lo")) & (F.col("_u") <= F.col("_hi")))
-    return hit.groupBy(origin, dest).agg(F.count("*").alias("times"))
+    return hit.groupBy(F.col("_unit").alias(origin), dest).agg(F.count("*").alias("times"))

@@ -5,8 +5,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from isoreach.operators import sampling as P
 from isoreach.operators import spatial as J
+from isoreach.plans.domain import load
 from isoreach.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -56,3 +59,14 @@ def test_pairs_are_made_once_a_place(spark, crowded, monkeypatch, name):
     for a, b in zip(*rows, strict=True):
         assert all(x == y or math.isclose(x, y, abs_tol=2e-6) for x, y in zip(a, b, strict=True))
     assert joined and max(joined) <= duckdb.execute(f"select count(*) from '{SF}/customer.parquet'").fetchone()[0] + 2
+
+
+def test_the_sample_draws_for_each_cell_of_a_place_from_shared_pairs(spark, crowded, monkeypatch):
+    joined, plain = [], J.within_radius
+    monkeypatch.setattr(J, "within_radius", lambda left, *a, **k: joined.append(left.count()) or plain(left, *a, **k))
+    got = {(r.cell_id, r.dest_id): r.times for r in REGISTRY["x2_destination_sample"][0](spark, crowded).collect()}
+    assert max(joined) <= duckdb.execute(f"select count(*) from '{SF}/customer.parquet'").fetchone()[0] + 2
+    c, d = load(spark, crowded, "cells").select("cell_id", "x", "y"), load(spark, crowded, "dests").select("dest_id", "dx", "dy", "weight")
+    near = plain(c, d, 300.0).withColumn("bin", F.floor(F.col("dist") / 100).cast("int"))
+    alone = P.nested_sample(near, "cell_id", "dest_id", "bin", "weight", {0: 0.5, 1: 0.3, 2: 0.2}, 20, 3)
+    assert got and got == {(r.cell_id, r.dest_id): r.times for r in alone.collect()}
