@@ -42,6 +42,8 @@ HIDDEN = 12
 #: Every position is a target in one of the rounds; minibatches grow from LEAST to MOST as a shard has seen more.
 ROUNDS, LEAST, MOST, RATE = 2, 128, 6144, 0.08
 SEED = 41
+#: Rows of the hidden layer, and clusters, that are worked on at once: their arrays stay in the cache.
+PART, TOGETHER = 4096, 8
 #: Tokens of a shard, about.  Its file is one Parquet row group, so one task reads it as a whole.
 SHARD = 1_000_000
 #: Parameters in a slice, and the sums of the first level.
@@ -127,12 +129,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def hidden(m: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
     """The hidden layer, with a last unit that is always one."""
-    x = m["emb"][TABLE[0]].take(context[0], axis=0)
-    for k in range(1, len(OFFSETS)):
-        x += m["emb"][TABLE[k]].take(context[k], axis=0)
-    x += m["bias"]
-    out = np.ones((len(x), HIDDEN + 1), dtype=np.float32)
-    np.tanh(x, out=out[:, :HIDDEN])
+    n = context.shape[1]
+    out = np.ones((n, HIDDEN + 1), dtype=np.float32)
+    part = np.empty((min(n, PART), HIDDEN), dtype=np.float32)
+    for lo in range(0, n, PART):
+        hi = min(n, lo + PART)
+        x, more = m["emb"][TABLE[0]].take(context[0, lo:hi], axis=0), part[: hi - lo]
+        for k in range(1, len(OFFSETS)):
+            x += m["emb"][TABLE[k]].take(context[k, lo:hi], axis=0, out=more, mode="clip")  # ids are in range; other modes buffer
+        x += m["bias"]
+        np.tanh(x, out=out[lo:hi, :HIDDEN])
     return out
 
 
@@ -151,7 +157,8 @@ def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -
         h = hidden(m, np.stack([padded[p + o] for o in OFFSETS]))
         z = h @ m["cw"]
         rows = np.arange(len(p))
-        got = z[rows, cluster] - np.log(np.exp(z, out=z.copy()).sum(axis=1))
+        got = z[rows, cluster]
+        got -= np.log(np.exp(z, out=z).sum(axis=1))
         w = t // CLUSTERS
         ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1))
         for k in range(CLUSTERS):
@@ -166,8 +173,18 @@ def log_probs(m: dict[str, np.ndarray], padded: np.ndarray, place: np.ndarray) -
 
 def _descend(w: np.ndarray, g2: np.ndarray, g: np.ndarray, at=slice(None)) -> None:
     """An AdaGrad step on the rows at of w."""
-    g2[at] += g * g
-    w[at] -= RATE * g / (np.sqrt(g2[at]) + 1e-6)
+    total = g * g
+    if isinstance(at, slice):
+        g2 += total
+        np.sqrt(g2, out=total)
+    else:
+        total += g2[at]
+        g2[at] = total
+        np.sqrt(total, out=total)
+    total += 1e-6
+    change = RATE * g
+    change /= total
+    w[at] -= change
 
 
 def _scatter(w: np.ndarray, g2: np.ndarray, ids: np.ndarray, g: np.ndarray) -> None:
@@ -191,15 +208,18 @@ def step(m: dict[str, np.ndarray], g2: dict[str, np.ndarray], padded: np.ndarray
     d[rows, c] -= 1
     dh = d @ m["cw"].T
     _descend(m["cw"], g2["cw"], h.T @ d / n)
-    d, g = np.empty((len(place), WIDTH), dtype=np.float32), np.zeros(_SHAPES["tw"], dtype=np.float32)
-    some = [(k, ends[k], ends[k + 1]) for k in range(CLUSTERS) if ends[k] < ends[k + 1]]
-    for k, lo, hi in some:
-        np.matmul(h[lo:hi], m["tw"][k], out=d[lo:hi])
-    _softmax(d)
-    d[rows, w] -= 1
-    for k, lo, hi in some:
-        np.matmul(h[lo:hi].T, d[lo:hi], out=g[k])
-        dh[lo:hi] += d[lo:hi] @ m["tw"][k].T
+    g = np.zeros(_SHAPES["tw"], dtype=np.float32)
+    for first in range(0, CLUSTERS, TOGETHER):  # some clusters at a time, so that their rows stay in the cache
+        some = [(k, ends[k], ends[k + 1]) for k in range(first, first + TOGETHER) if ends[k] < ends[k + 1]]
+        begin, end = ends[first], ends[first + TOGETHER]
+        d = np.empty((end - begin, WIDTH), dtype=np.float32)
+        for k, lo, hi in some:
+            np.matmul(h[lo:hi], m["tw"][k], out=d[lo - begin : hi - begin])
+        _softmax(d)
+        d[rows[: end - begin], w[begin:end]] -= 1
+        for k, lo, hi in some:
+            np.matmul(h[lo:hi].T, d[lo - begin : hi - begin], out=g[k])
+            dh[lo:hi] += d[lo - begin : hi - begin] @ m["tw"][k].T
     g /= n
     _descend(m["tw"], g2["tw"], g)
     dx = dh[:, :HIDDEN] * (1 - h[:, :HIDDEN] * h[:, :HIDDEN])

@@ -445,6 +445,21 @@ def test_masked_lm_trains_every_position_once():
     assert sum(seen) == 40 * 50 and min(seen) > 0
 
 
+def test_masked_lm_steps_work_on_small_arrays():
+    """A step on a full minibatch holds a part of its rows at a time, besides arrays as large as the parameters."""
+    import tracemalloc
+
+    r = np.random.default_rng(5)
+    padded, place, _ = maskedlm.laid_out([r.integers(0, maskedlm.VOCAB, maskedlm.MOST).astype(np.int16)])
+    trainer = maskedlm.Trainer(maskedlm.initial(np.ones(40), 40), 0)
+    maskedlm.step(trainer.m, trainer.g2, padded, place)
+    tracemalloc.start()
+    maskedlm.step(trainer.m, trainer.g2, padded, place)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * maskedlm.MOST * maskedlm.WIDTH * 4  # 3.5 MB, and 6.5 with all rows at once
+
+
 def test_masked_lm_probabilities_add_up_to_one():
     flat = np.random.default_rng(1).standard_normal(maskedlm.SIZE).astype(np.float32) * 0.3
     m = maskedlm.views(flat)
